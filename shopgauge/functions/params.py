@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 
 def param(key: str, kind: str, params: str = "event_params") -> Column:
     """Value of ``key``; ``kind`` is ``string``, ``int``, ``float`` or ``double``."""
-    return F.array_max(
-        F.transform(params, lambda p: F.when(p["key"] == key, p["value"][f"{kind}_value"]))
-    )
+    found = f"transform({params}, p -> IF(p.key = '{key}', p.value.{kind}_value, NULL))"
+    return F.expr(f"array_max({found})")
 
 
 def has_any_param(keys: tuple[str, ...], params: str = "event_params") -> Column:
     """True when one of ``keys`` is present; false for an empty or missing array."""
-    return F.coalesce(F.exists(params, lambda p: p["key"].isin(*keys)), F.lit(False))
+    wanted = ", ".join(f"'{key}'" for key in keys)
+    return F.expr(f"coalesce(exists({params}, p -> p.key IN ({wanted})), false)")
 
 
 def has_params(params: str = "event_params") -> Column:
-    return F.coalesce(F.size(params) > 0, F.lit(False))
+    return F.expr(f"coalesce(size({params}) > 0, false)")

@@ -97,25 +97,25 @@ def recent_runs(ledger: DataFrame, as_of: Column | None = None, days: int = 7) -
 
 
 def row_count_anomaly(
-    counts: DataFrame, window_days: int = 7, tolerance: float = 0.2
+    ledger: DataFrame, window_days: int = 7, tolerance: float = 0.2
 ) -> DataFrame:
     """Days whose row count is more than ``tolerance`` off the mean of the days before.
 
-    ``counts`` holds ``run_date`` and ``rows_processed``. Each day adds its count
+    The last successful load of a day gives its count. Each day adds its count
     to the days after it, which replaces a window over the whole ledger.
     """
-    per_day = counts.groupBy("run_date").agg(F.sum("rows_processed").alias("row_count"))
+    per_day = (
+        ledger.where((F.col("layer") == "raw") & (F.col("status") == "success"))
+        .groupBy("run_date")
+        .agg(F.max_by("rows_processed", "started_at").alias("row_count"))
+    )
+    later = F.transform(
+        F.sequence(F.lit(1), F.lit(window_days)), lambda n: F.date_add("run_date", n)
+    )
     before = (
-        per_day.select(
-            F.explode(
-                F.transform(
-                    F.sequence(F.lit(1), F.lit(window_days)), lambda n: F.date_add("run_date", n)
-                )
-            ).alias("run_date"),
-            "row_count",
-        )
+        per_day.select(F.explode(later).alias("run_date"), "row_count")
         .groupBy("run_date")
-        .agg((F.sum("row_count") / F.count("*")).alias("average"))
+        .agg((F.sum("row_count") / F.count("row_count")).alias("average"))
     )
     return (
         per_day.join(before, "run_date")

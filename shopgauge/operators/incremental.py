@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.keys import session_key
+from ..sources.shards import SUFFIX
 from .staging import session_starts, sessions_of
 
 
@@ -57,27 +58,32 @@ def replace_days(
     return kept.unionByName(rebuilt.where(in_days))
 
 
-def touched_sessions(raw: DataFrame, days: list) -> DataFrame:
-    """Keys of the sessions that have an event on one of the days."""
-    return (
-        _keyed_starts(raw.where(F.col("event_date_dt").isin(days)))
-        .select("session_key")
-        .distinct()
-    )
-
-
 def _keyed_starts(raw: DataFrame) -> DataFrame:
     starts = session_starts(raw).where(F.col("ga_session_id").isNotNull())
     return starts.withColumn("session_key", session_key())
 
 
-def refresh_sessions(target: DataFrame, raw: DataFrame, touched: DataFrame) -> DataFrame:
-    """``target`` with the touched sessions built anew from all their events.
+def touched_sessions(raw: DataFrame, suffixes: list[str]) -> DataFrame:
+    """Keys of the sessions that have an event on one of the days."""
+    on_days = raw.where(F.col(SUFFIX).isin(suffixes))
+    return _keyed_starts(on_days).select("session_key").distinct()
+
+
+def rebuild_sessions(raw: DataFrame, touched: DataFrame) -> DataFrame:
+    """The touched sessions, from all their events on all days."""
+    return sessions_of(_keyed_starts(raw).join(touched, "session_key", "left_semi"))
+
+
+def merge_sessions(target: DataFrame, rebuilt: DataFrame, touched: DataFrame) -> DataFrame:
+    """``target`` without the touched sessions, plus the rebuilt ones.
 
     A session that begins before a reloaded day keeps its earlier date, and one
-    whose events have gone disappears, so the result equals a full build. Pass
-    the sessions touched before the reload together with those after it.
+    whose events have gone disappears, so the result equals a full build when
+    ``touched`` holds the sessions of the days before and after the reload.
     """
-    rebuilt = sessions_of(_keyed_starts(raw).join(touched, "session_key", "left_semi"))
     kept = sync_schema(target, rebuilt.schema).join(touched, "session_key", "left_anti")
     return kept.select(*rebuilt.columns).unionByName(rebuilt)
+
+
+def refresh_sessions(target: DataFrame, raw: DataFrame, touched: DataFrame) -> DataFrame:
+    return merge_sessions(target, rebuild_sessions(raw, touched), touched)

@@ -20,6 +20,11 @@ def _bounds(df: DataFrame, columns: list[str]) -> dict[str, list]:
     return {name: sorted(set(row[name] or [])) for name in columns}
 
 
+def _literal(numbers: list, kind: str) -> Column:
+    """An array of constants, passed as one text rather than one call per number."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
+
+
 def _bucket(df: DataFrame, column: str, bounds: list) -> Column:
     """Number of the range a value is in, growing with the value.
 
@@ -34,7 +39,7 @@ def _bucket(df: DataFrame, column: str, bounds: list) -> Column:
     chunks = [bounds[i : i + _CHUNK] for i in range(0, len(bounds), _CHUNK)]
 
     def literal(values: list) -> Column:
-        return F.array(*[F.lit(v).cast(kind) for v in values])
+        return _literal(values, kind.simpleString())
 
     whole = F.size(F.filter(literal([c[-1] for c in chunks]), lambda b: b < value))
     chunk = F.get(F.array(*[literal(c) for c in chunks]), whole)
@@ -91,6 +96,6 @@ def global_ranks(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
         bucket = F.col(buckets[rank])
         tied = F.when(bucket % 2 != 0, spread).otherwise(0)
         inside = F.rank().over(Window.partitionBy(bucket, tied).orderBy(F.col(value).desc()))
-        offset = F.get(F.array(*[F.lit(n).cast("bigint") for n in above[rank]]), bucket + 1)
+        offset = F.get(_literal(above[rank], "bigint"), bucket + 1)
         ranged = ranged.withColumn(rank, (offset + inside).cast("bigint"))
     return ranged.drop(*buckets.values())

@@ -2,12 +2,12 @@
 
 Everything is built on the row: no join, no grouping and no collected list,
 so one hot user, order or product cannot make a partition or an array grow.
+Expressions are written as SQL text, one per source column.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import (
     DEVICE,
@@ -34,161 +34,130 @@ DAY = 86_400_000_000
 EVENT_NAMES = {"view": "session_start"}
 
 
-def _record(fields: dict[str, str], **values: Column) -> Column:
+def _record(fields: dict[str, str], **values: str) -> str:
     """A struct of all ``fields``; those without a value are NULL."""
-    return F.struct(
-        *[
-            (values[name].cast(kind) if name in values else F.lit(None).cast(kind)).alias(name)
-            for name, kind in fields.items()
-        ]
-    )
-
+    return "named_struct(" + ", ".join(
+        f"'{name}', CAST({values.get(name, 'NULL')} AS {kind})" for name, kind in fields.items()
+    ) + ")"
 
-def _param(key: str, **value: Column) -> Column:
-    return _record(PARAM, key=F.lit(key), value=_record(PARAM_VALUE, **value))
 
+def _param(key: str, when: str | None = None, **value: str) -> str:
+    entry = _record(PARAM, key=f"'{key}'", value=_record(PARAM_VALUE, **value))
+    return f"IF({when}, {entry}, NULL)" if when else entry
 
-def _params(*entries: Column) -> Column:
-    """An array of parameters without the entries that are NULL."""
-    return F.filter(F.array(*entries), lambda p: p.isNotNull())
 
+def _params(unless: str, *entries: str) -> str:
+    """The entries that are not NULL, or no entry at all."""
+    none = f"CAST(array() AS array<{struct_type(PARAM)}>)"
+    return f"IF({unless}, {none}, array_compact(array({', '.join(entries)})))"
 
-def _no_params() -> Column:
-    return F.array().cast(f"array<{struct_type(PARAM)}>")
 
-
-def _micros(ts: str) -> Column:
+def _micros(ts: str) -> str:
     """Microseconds since 1970 of a zone-less timestamp, whatever the session zone."""
-    return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {ts})")
+    return f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {ts})"
 
 
-def _as_source(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.select(
+def _as_source(rows: DataFrame, **columns: str) -> DataFrame:
+    return rows.selectExpr(
         *[
-            (columns[name] if name in columns else F.lit(None)).cast(kind).alias(name)
+            f"CAST({columns.get(name, 'NULL')} AS {kind}) AS {name}"
             for name, kind in SOURCE_EVENTS.items()
         ]
     )
 
 
-def _event_name() -> Column:
-    name = F.col("event_type")
-    for old, new in EVENT_NAMES.items():
-        name = F.when(F.col("event_type") == old, new).otherwise(name)
-    return name
-
-
-def _read(spark: SparkSession, sf_dir: str, table: str, ts: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet").withColumn(
-        ts, F.col(ts).cast("timestamp_ntz")
-    )
-
-
 def web_shards(spark: SparkSession, sf_dir: str, event_name: str | None = None) -> DataFrame:
     """``events`` as visits and purchases of a web shop.
 
     Naming one event here lets the filter reach the files, which a filter on
     the derived name cannot.
     """
-    events = _read(spark, sf_dir, "events", "ts")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    named = "event_type"
+    for old, new in EVENT_NAMES.items():
+        named = f"IF(event_type = '{old}', '{new}', {named})"
     if event_name is not None:
         stored = {new: old for old, new in EVENT_NAMES.items()}.get(event_name, event_name)
-        events = events.where(F.col("event_type") == stored)
-    rows = events.select(
+        events = events.where(events["event_type"] == stored)
+        named = f"'{event_name}'"
+    rows = events.selectExpr(
         "event_id",
         "user_id",
-        "event_type",
+        "event_type = 'purchase' AS bought",
+        f"{named} AS event_name",
         "value",
-        F.date_format("ts", "yyyyMMdd").alias("day"),
-        _micros("ts").alias("micros"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-    )
-    k, micros, value, user = F.col("k"), F.col("micros"), F.col("value"), F.col("user_id")
-    is_purchase = F.col("event_type") == "purchase"
-    params = _params(
-        _param("ga_session_id", int_value=F.floor(micros / F.lit(SESSION_BLOCK))),
-        _param("ga_session_number", int_value=k),
-        F.when(
-            k % 10 != 0,
-            _param("page_location", string_value=F.concat(F.lit("/k/"), k.cast("string"))),
-        ),
-        F.when(
-            k % 6 == 0,
-            _param("page_title", string_value=F.concat(F.lit("Page "), k.cast("string"))),
-        ),
-        _param("session_engaged", string_value=(k % 2).cast("string")),
-        F.when(k % 4 == 1, _param("engaged_session_event", int_value=F.lit(1))),
-        F.when(is_purchase & (k % 3 != 0), _param("currency", string_value=F.lit("USD"))),
-        F.when(is_purchase, _param("tax", float_value=value)),
-        F.when(is_purchase & (k % 7 == 0), _param("coupon", string_value=F.lit("SAVE7"))),
+        "date_format(CAST(ts AS timestamp_ntz), 'yyyyMMdd') AS day",
+        f"{_micros('CAST(ts AS timestamp_ntz)')} AS micros",
+        "CAST(get_json_object(props, '$.k') AS bigint) AS k",
     )
-
-    def item(i: int) -> Column:
-        return _record(
+    items = ", ".join(
+        _record(
             ITEM,
-            item_id=(user * 7 + i * 13 + k).cast("string"),
-            item_name=F.concat(F.lit("item "), ((user + i) % 50).cast("string")),
-            item_category=F.concat(F.lit("category "), (k % 5).cast("string")),
-            price_in_usd=value,
-            quantity=F.lit(i + 1),
-            item_revenue_in_usd=value,
+            item_id=f"user_id * 7 + {i * 13} + k",
+            item_name=f"'item ' || (user_id + {i}) % 50",
+            item_category="'category ' || k % 5",
+            price_in_usd="value",
+            quantity=str(i + 1),
+            item_revenue_in_usd="value",
         )
-
-    items = F.when(
-        is_purchase & (k % 25 != 0),
-        F.slice(F.array(*[item(i) for i in range(3)]), 1, (k % 4).cast("int")),
+        for i in range(3)
     )
     return _as_source(
         rows,
-        {
-            "event_date": F.col("day"),
-            "event_name": F.lit(event_name) if event_name else _event_name(),
-            "event_timestamp": micros,
-            "event_bundle_sequence_id": F.when(F.col("event_id") % 7 != 0, F.col("event_id")),
-            "user_pseudo_id": (user * 8 + k % 8).cast("string"),
-            "user_id": F.when(k % 5 == 0, F.concat(F.lit("member "), user.cast("string"))),
-            "user_first_touch_timestamp": micros - k * 1_000_000,
-            "event_params": F.when(F.col("event_id") % 101 == 0, _no_params()).otherwise(params),
-            "ecommerce": _record(
-                ECOMMERCE,
-                transaction_id=F.when(k % 50 != 0, (user * 100 + k).cast("string")),
-                purchase_revenue_in_usd=value,
-                refund_value_in_usd=F.when(k % 20 == 0, value),
-                shipping_value_in_usd=F.when(k % 4 == 0, F.lit(4.5)),
-                total_item_quantity=k % 4,
-                unique_items=k % 4,
-            ),
-            "traffic_source": _record(
-                TRAFFIC_SOURCE,
-                source=F.concat(F.lit("source "), (k % 4).cast("string")),
-                medium=F.when(k % 2 == 0, "organic").otherwise("referral"),
-                name=F.when(k % 4 != 3, F.concat(F.lit("campaign "), (k % 4).cast("string"))),
-            ),
-            "device": _record(
-                DEVICE,
-                category=F.concat(F.lit("device "), (k % 3).cast("string")),
-                operating_system=F.concat(F.lit("os "), (k % 4).cast("string")),
-                language=F.when(k % 9 != 0, "en-us"),
-                web_info=_record(
-                    WEB_INFO, browser=F.concat(F.lit("browser "), (k % 5).cast("string"))
-                ),
-            ),
-            "geo": _record(
-                GEO,
-                country=F.concat(F.lit("country "), (user % 25).cast("string")),
-                region=F.concat(F.lit("region "), (user % 50).cast("string")),
-                city=F.when(user % 10 != 0, F.concat(F.lit("city "), (user % 75).cast("string"))),
-            ),
-            "user_ltv": _record(USER_LTV, revenue=value, currency=F.lit("USD")),
-            "platform": F.lit("WEB"),
-            "stream_id": F.lit(1),
-            "privacy_info": _record(
-                PRIVACY_INFO, analytics_storage=k % 2, uses_transient_token=F.lit("No")
-            ),
-            "event_dimensions": _record(EVENT_DIMENSIONS, hostname=F.lit("shop.example.com")),
-            "items": items,
-            "source_table_suffix": F.col("day"),
-        },
+        event_date="day",
+        event_name="event_name",
+        event_timestamp="micros",
+        event_bundle_sequence_id="IF(event_id % 7 <> 0, event_id, NULL)",
+        user_pseudo_id="user_id * 8 + k % 8",
+        user_id="IF(k % 5 = 0, 'member ' || user_id, NULL)",
+        user_first_touch_timestamp="micros - k * 1000000",
+        event_params=_params(
+            "event_id % 101 = 0",
+            _param("ga_session_id", int_value=f"floor(micros / {SESSION_BLOCK})"),
+            _param("ga_session_number", int_value="k"),
+            _param("page_location", "k % 10 <> 0", string_value="'/k/' || k"),
+            _param("page_title", "k % 6 = 0", string_value="'Page ' || k"),
+            _param("session_engaged", string_value="k % 2"),
+            _param("engaged_session_event", "k % 4 = 1", int_value="1"),
+            _param("currency", "bought AND k % 3 <> 0", string_value="'USD'"),
+            _param("tax", "bought", float_value="value"),
+            _param("coupon", "bought AND k % 7 = 0", string_value="'SAVE7'"),
+        ),
+        ecommerce=_record(
+            ECOMMERCE,
+            total_item_quantity="k % 4",
+            purchase_revenue_in_usd="value",
+            refund_value_in_usd="IF(k % 20 = 0, value, NULL)",
+            shipping_value_in_usd="IF(k % 4 = 0, 4.5, NULL)",
+            unique_items="k % 4",
+            transaction_id="IF(k % 50 <> 0, user_id * 100 + k, NULL)",
+        ),
+        traffic_source=_record(
+            TRAFFIC_SOURCE,
+            medium="IF(k % 2 = 0, 'organic', 'referral')",
+            name="IF(k % 4 <> 3, 'campaign ' || k % 4, NULL)",
+            source="'source ' || k % 4",
+        ),
+        device=_record(
+            DEVICE,
+            category="'device ' || k % 3",
+            operating_system="'os ' || k % 4",
+            language="IF(k % 9 <> 0, 'en-us', NULL)",
+            web_info=_record(WEB_INFO, browser="'browser ' || k % 5"),
+        ),
+        geo=_record(
+            GEO,
+            country="'country ' || user_id % 25",
+            region="'region ' || user_id % 50",
+            city="IF(user_id % 10 <> 0, 'city ' || user_id % 75, NULL)",
+        ),
+        user_ltv=_record(USER_LTV, revenue="value", currency="'USD'"),
+        platform="'WEB'",
+        stream_id="1",
+        privacy_info=_record(PRIVACY_INFO, analytics_storage="k % 2", uses_transient_token="'No'"),
+        event_dimensions=_record(EVENT_DIMENSIONS, hostname="'shop.example.com'"),
+        items=f"IF(bought AND k % 25 <> 0, slice(array({items}), 1, CAST(k % 4 AS int)), NULL)",
+        source_table_suffix="day",
     )
 
 
@@ -198,76 +167,64 @@ def order_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     The lines of an order share its transaction id and its buyer, so
     transaction ids repeat over events.
     """
-    lines = _read(spark, sf_dir, "lineitem", "l_shipdate")
-    part, supp, order = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey")
-    revenue = F.round(
-        F.col("l_extendedprice").cast("decimal(18,6)")
-        * (1 - F.col("l_discount").cast("decimal(18,6)")),
-        2,
-    ).cast("double")
-    rows = lines.select(
+    shipped = "CAST(l_shipdate AS timestamp_ntz)"
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
         "*",
-        F.date_format("l_shipdate", "yyyyMMdd").alias("day"),
-        (
-            _micros("l_shipdate")
-            + (part * 7919 + supp * 104729 + F.col("l_linenumber")) % F.lit(DAY)
-        ).alias("micros"),
-        revenue.alias("revenue"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
+        f"date_format({shipped}, 'yyyyMMdd') AS day",
+        f"{_micros(shipped)} + (l_partkey * 7919 + l_suppkey * 104729 + l_linenumber) % {DAY}"
+        " AS micros",
+        "CAST(round(CAST(l_extendedprice AS decimal(18,6))"
+        " * (1 - CAST(l_discount AS decimal(18,6))), 2) AS double) AS revenue",
     )
-    refund = F.when(F.col("l_returnflag") == "R", F.col("revenue"))
+    refund = "IF(l_returnflag = 'R', revenue, NULL)"
+    service_price = "IF(l_suppkey % 3 <> 0, (100 + l_suppkey % 50) / 10D, NULL)"
     goods = _record(
         ITEM,
-        item_id=part.cast("string"),
-        item_name=F.when(part % 97 != 0, F.concat(F.lit("part "), (part % 64).cast("string"))),
-        item_brand=F.concat(F.lit("Brand#"), (part % 25).cast("string")),
-        item_category=F.concat(F.lit("type "), (part % 6).cast("string")),
-        item_category2=F.when(part % 4 != 0, F.concat(F.lit("kind "), (supp % 9).cast("string"))),
-        price_in_usd=(part % 1000 + 9000) / F.lit(10.0),
-        quantity=F.col("quantity"),
-        item_revenue_in_usd=F.col("revenue"),
+        item_id="l_partkey",
+        item_name="IF(l_partkey % 97 <> 0, 'part ' || l_partkey % 64, NULL)",
+        item_brand="'Brand#' || l_partkey % 25",
+        item_category="'type ' || l_partkey % 6",
+        item_category2="IF(l_partkey % 4 <> 0, 'kind ' || l_suppkey % 9, NULL)",
+        price_in_usd="(9000 + l_partkey % 1000) / 10D",
+        quantity="l_quantity",
+        item_revenue_in_usd="revenue",
         item_refund_in_usd=refund,
-        coupon=F.when(F.col("l_discount") > 0.08, F.lit("BULK")),
+        coupon="IF(l_discount > 0.08D, 'BULK', NULL)",
     )
     add_on = _record(
         ITEM,
-        item_id=F.concat(F.lit("add-on "), (supp % 40).cast("string")),
-        item_name=F.concat(F.lit("service "), (supp % 10).cast("string")),
-        item_category=F.lit("service"),
-        price_in_usd=F.when(supp % 3 != 0, (supp % 50 + 100) / F.lit(10.0)),
-        quantity=F.when(supp % 7 != 0, F.lit(1)),
-        item_revenue_in_usd=F.when(supp % 3 != 0, (supp % 50 + 100) / F.lit(10.0)),
-    )
-    items = (
-        F.when(supp % 53 == 0, F.lit(None))
-        .when(supp % 59 == 0, F.array().cast(f"array<{struct_type(ITEM)}>"))
-        .when(F.col("l_tax") > 0.045, F.array(goods, add_on))
-        .otherwise(F.array(goods))
-    )
-    params = _params(
-        _param("ga_session_id", int_value=F.floor(F.col("micros") / F.lit(SESSION_BLOCK))),
-        F.when(part % 3 != 0, _param("currency", string_value=F.lit("USD"))),
-        _param("tax", float_value=F.col("l_tax")),
-        F.when(F.col("l_discount") > 0.08, _param("coupon", string_value=F.lit("BULK"))),
+        item_id="'add-on ' || l_suppkey % 40",
+        item_name="'service ' || l_suppkey % 10",
+        item_category="'service'",
+        price_in_usd=service_price,
+        quantity="IF(l_suppkey % 7 <> 0, 1, NULL)",
+        item_revenue_in_usd=service_price,
     )
     return _as_source(
         rows,
-        {
-            "event_date": F.col("day"),
-            "event_name": F.when(F.col("l_linenumber") == 7, "add_to_cart").otherwise("purchase"),
-            "event_timestamp": F.col("micros"),
-            "event_bundle_sequence_id": order,
-            "user_pseudo_id": F.when(order % 211 != 0, F.floor(order / F.lit(4)).cast("string")),
-            "event_params": F.when(part % 101 == 0, _no_params()).otherwise(params),
-            "ecommerce": _record(
-                ECOMMERCE,
-                transaction_id=F.when(order % 50 != 0, order.cast("string")),
-                purchase_revenue_in_usd=F.col("revenue"),
-                refund_value_in_usd=refund,
-                total_item_quantity=F.col("quantity"),
-            ),
-            "geo": _record(GEO, country=F.concat(F.lit("country "), (supp % 25).cast("string"))),
-            "items": items,
-            "source_table_suffix": F.col("day"),
-        },
+        event_date="day",
+        event_name="IF(l_linenumber = 7, 'add_to_cart', 'purchase')",
+        event_timestamp="micros",
+        event_bundle_sequence_id="l_orderkey",
+        user_pseudo_id="IF(l_orderkey % 211 <> 0, l_orderkey DIV 4, NULL)",
+        event_params=_params(
+            "l_partkey % 101 = 0",
+            _param("ga_session_id", int_value=f"floor(micros / {SESSION_BLOCK})"),
+            _param("currency", "l_partkey % 3 <> 0", string_value="'USD'"),
+            _param("tax", float_value="l_tax"),
+            _param("coupon", "l_discount > 0.08D", string_value="'BULK'"),
+        ),
+        ecommerce=_record(
+            ECOMMERCE,
+            total_item_quantity="l_quantity",
+            purchase_revenue_in_usd="revenue",
+            refund_value_in_usd=refund,
+            transaction_id="IF(l_orderkey % 50 <> 0, l_orderkey, NULL)",
+        ),
+        geo=_record(GEO, country="'country ' || l_suppkey % 25"),
+        items=f"""CASE WHEN l_suppkey % 53 = 0 THEN NULL
+                       WHEN l_suppkey % 59 = 0 THEN CAST(array() AS array<{struct_type(ITEM)}>)
+                       WHEN l_tax > 0.045D THEN array({goods}, {add_on})
+                       ELSE array({goods}) END""",
+        source_table_suffix="day",
     )

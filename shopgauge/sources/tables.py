@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import PIPELINE_RUNS, ddl
-from .shards import SUFFIX, one_shard
+from .shards import SUFFIX
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -35,25 +35,29 @@ def create_if_absent(spark: SparkSession, path: str, columns: dict[str, str]) ->
 
 
 def read_table(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    return spark.read.schema(ddl(columns)).parquet(path)
+    return spark.read.schema(ddl(columns)).parquet(path).select(*columns)
 
 
-def reload_day(rows: DataFrame, path: str, suffix: str) -> None:
-    """Replace one day of a raw table.
+def reload_day(rows: DataFrame, path: str, day, column: str = SUFFIX) -> None:
+    """Replace one day of a table partitioned by ``column``.
 
     The day's folder is overwritten as such, so a day that has become empty is
     cleared, and running it twice leaves the same rows as running it once.
     """
     (
-        one_shard(rows, suffix)
-        .drop(SUFFIX)
+        rows.where(F.col(column) == day)
+        .drop(column)
         .write.mode("overwrite")
-        .parquet(f"{path}/{SUFFIX}={suffix}")
+        .parquet(f"{path}/{column}={day}")
     )
 
 
 def reload_days(
-    rows: DataFrame, path: str, suffixes: list[str] | None = None, cluster_by: tuple = ()
+    rows: DataFrame,
+    path: str,
+    days: list | None = None,
+    column: str = SUFFIX,
+    cluster_by: tuple = (),
 ) -> None:
     """Replace many days in one write; all days found in ``rows`` when none are named.
 
@@ -62,21 +66,21 @@ def reload_days(
     files for row-group statistics. Named days without rows are cleared one by
     one, since an overwrite by found days would leave them.
     """
-    if suffixes is not None:
-        rows = rows.where(F.col(SUFFIX).isin(suffixes))
-    laid_out = rows.hint("rebalance", SUFFIX)
+    if days is not None:
+        rows = rows.where(F.col(column).isin(days))
+    laid_out = rows.hint("rebalance", column)
     if cluster_by:
-        laid_out = laid_out.sortWithinPartitions(SUFFIX, *cluster_by)
+        laid_out = laid_out.sortWithinPartitions(column, *cluster_by)
     (
         laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SUFFIX)
+        .partitionBy(column)
         .parquet(path)
     )
-    if suffixes is not None:
-        found = {row[0] for row in rows.select(SUFFIX).distinct().collect()}  # one per day
-        for suffix in sorted(set(suffixes) - found):
-            reload_day(rows, path, suffix)
+    if days is not None:
+        found = {row[0] for row in rows.select(column).distinct().collect()}  # one per day
+        for day in sorted(set(days) - found):
+            reload_day(rows, path, day, column)
 
 
 def rebuild(df: DataFrame, path: str) -> DataFrame:
