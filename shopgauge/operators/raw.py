@@ -42,7 +42,9 @@ def raw_purchase_items(shards: DataFrame) -> DataFrame:
             "source_table_suffix",
             "items",
         )
-        .select("*", F.posexplode("items").alias("position", "item"))
+        # Opening an expression, not the bare column, keeps Spark from adding a
+        # filter on the array's size that would compute a derived array twice.
+        .select("*", F.posexplode(F.coalesce("items", F.array())).alias("position", "item"))
     )
     return opened.select(
         parse_suffix("event_date").alias("event_date_dt"),
