@@ -26,6 +26,14 @@ REPORT_BUILDERS = {
 }
 
 
+# Staging tables stored by day: how each is built whole, and its day column.
+STAGED_BY_DAY = {
+    "stg_sessions": (lambda wh: staging.sessions(wh.events()), "session_date"),
+    "stg_purchases": (lambda wh: staging.purchases(wh.events()), "purchase_date"),
+    "stg_purchase_items": (lambda wh: staging.purchase_items(wh.items()), "purchase_date"),
+}
+
+
 class Warehouse:
     """Tables below one folder that all executors reach."""
 
@@ -45,7 +53,13 @@ class Warehouse:
         return tables.read_table(self.spark, self.path("pipeline_runs"), PIPELINE_RUNS)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A staging or mart table. Staging ones are read by the columns their
+        builder declares, so that one without any day is readable too."""
+        reader = self.spark.read
+        if name in STAGED_BY_DAY:
+            build, _ = STAGED_BY_DAY[name]
+            reader = reader.schema(build(self).schema)
+        return reader.parquet(self.path(name))
 
     def ensure_raw(self) -> None:
         tables.create_if_absent(self.spark, self.path("raw_events"), RAW_EVENTS)
@@ -123,15 +137,9 @@ def stage(wh: Warehouse, days: list[str] | None, touched: DataFrame | None = Non
     """Bring the staging tables up to date with reloaded days; None builds them whole."""
     events, items = wh.events(), wh.items()
     if days is None:
-        parts = {
-            "stg_sessions": (staging.sessions(events), "session_date"),
-            "stg_purchases": (staging.purchases(events), "purchase_date"),
-            "stg_purchase_items": (staging.purchase_items(items), "purchase_date"),
-        }
-        for name, (built, column) in parts.items():
-            built.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(
-                wh.path(name)
-            )
+        for name, (build, column) in STAGED_BY_DAY.items():
+            laid_out = build(wh).hint("rebalance", column)
+            laid_out.write.mode("overwrite").partitionBy(column).parquet(wh.path(name))
     else:
         dates = [_date(day) for day in days]
         reloaded = F.col(SUFFIX).isin(days)
