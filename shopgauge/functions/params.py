@@ -12,9 +12,17 @@ from pyspark.sql import functions as F
 
 
 def param(key: str, kind: str, params: str = "event_params") -> Column:
-    """Value of ``key``; ``kind`` is ``string``, ``int``, ``float`` or ``double``."""
-    found = f"transform({params}, p -> IF(p.key = '{key}', p.value.{kind}_value, NULL))"
-    return F.expr(f"array_max({found})")
+    """Value of ``key``; ``kind`` is ``string``, ``int``, ``float`` or ``double``.
+
+    Keys seldom repeat within an event. While they do not, the value is read at
+    the position of its key, which compiles; only events with repeated keys go
+    through a lambda over all entries.
+    """
+    value = f"value.{kind}_value"
+    no_repeats = f"size(array_distinct({params}.key)) = size({params})"
+    at_position = f"get({params}.{value}, CAST(array_position({params}.key, '{key}') AS int) - 1)"
+    largest = f"array_max(transform({params}, p -> IF(p.key = '{key}', p.{value}, NULL)))"
+    return F.expr(f"IF({no_repeats}, {at_position}, {largest})")
 
 
 def has_any_param(keys: tuple[str, ...], params: str = "event_params") -> Column:

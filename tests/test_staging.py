@@ -215,3 +215,30 @@ def test_universe_matches_users(spark):
     assert rows_of(staging.user_universe(events, orders)) == rows_of(
         staging.users(events, orders), "user_pseudo_id"
     )
+
+
+def test_param_lookup_equals_pivot_by_grouping(spark):
+    from pyspark.sql import functions as F
+
+    from shopgauge.functions.params import param
+
+    cases = [
+        [],
+        [("a", 1)],
+        [("b", "x"), ("a", 2)],
+        [("a", 2), ("a", 9), ("a", 4)],
+        [("a", "text"), ("a", 4)],
+        [("a", "text")],
+        [("b", 1), ("b", 2), ("a", 7)],
+    ]
+    source = shards(
+        spark,
+        [event("e", "20240101", str(i), params=pairs) for i, pairs in enumerate(cases)],
+    )
+    ours = rows_of(source.select("user_pseudo_id", param("a", "int")))
+    grouped = (
+        source.select("user_pseudo_id", F.explode_outer("event_params").alias("p"))
+        .groupBy("user_pseudo_id")
+        .agg(F.max(F.when(F.col("p.key") == "a", F.col("p.value.int_value"))))
+    )
+    assert ours == rows_of(grouped)
