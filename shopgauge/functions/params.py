@@ -31,5 +31,11 @@ def has_any_param(keys: tuple[str, ...], params: str = "event_params") -> Column
     return F.expr(f"coalesce(exists({params}, p -> p.key IN ({wanted})), false)")
 
 
+def has_value(key: str, kind: str, params: str = "event_params") -> Column:
+    """True when ``key`` is present with a value of its kind."""
+    found = f"p -> p.key = '{key}' AND p.value.{kind}_value IS NOT NULL"
+    return F.expr(f"coalesce(exists({params}, {found}), false)")
+
+
 def has_params(params: str = "event_params") -> Column:
     return F.expr(f"coalesce(size({params}) > 0, false)")

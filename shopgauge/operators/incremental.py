@@ -59,8 +59,7 @@ def replace_days(
 
 
 def _keyed_starts(raw: DataFrame) -> DataFrame:
-    starts = session_starts(raw).where(F.col("ga_session_id").isNotNull())
-    return starts.withColumn("session_key", session_key())
+    return session_starts(raw).withColumn("session_key", session_key())
 
 
 def touched_sessions(raw: DataFrame, suffixes: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import from_micros
 from ..functions.keys import session_key
 from ..functions.money import amount, cents, zero_if_null
-from ..functions.params import has_any_param, has_params, param
+from ..functions.params import has_any_param, has_params, has_value, param
 
 # Parameter names and the type each is stored under.
 SESSION_PARAMS = {
@@ -90,13 +90,11 @@ def pivot_params(events: DataFrame, wanted: dict[str, str]) -> DataFrame:
 
 
 def session_starts(raw: DataFrame) -> DataFrame:
-    """Session start events that carry a session parameter, pivoted."""
-    return pivot_params(
-        raw.where(F.col("event_name") == "session_start").where(
-            has_any_param(tuple(SESSION_PARAMS))
-        ),
-        SESSION_PARAMS,
-    ).select(
+    """Session start events that carry a session id, with their parameters pivoted."""
+    events = raw.where(F.col("event_name") == "session_start").where(
+        has_value("ga_session_id", SESSION_PARAMS["ga_session_id"])
+    )
+    return pivot_params(events, SESSION_PARAMS).select(
         "event_id",
         "event_date_dt",
         "event_timestamp",
@@ -112,7 +110,6 @@ def landing_attributes(raw: DataFrame) -> DataFrame:
     """First known page, title and referrer of each session."""
     return (
         session_starts(raw)
-        .where(F.col("ga_session_id").isNotNull())
         .groupBy("user_pseudo_id", "ga_session_id")
         .agg(*[_earliest_non_null(source).alias(name) for name, source in LANDING.items()])
         .select(
@@ -135,8 +132,7 @@ def sessions(raw: DataFrame) -> DataFrame:
 def sessions_of(starts: DataFrame) -> DataFrame:
     """Sessions from events already pivoted by ``session_starts``."""
     grouped = (
-        starts.where(F.col("ga_session_id").isNotNull())
-        .groupBy("user_pseudo_id", "ga_session_id")
+        starts.groupBy("user_pseudo_id", "ga_session_id")
         .agg(
             F.max("user_id").alias("user_id"),
             F.min("event_date_dt").alias("session_date"),
