@@ -41,15 +41,18 @@ def _record(fields: dict[str, str], **values: str) -> str:
     ) + ")"
 
 
+_NO_PARAMS = f"CAST(array() AS array<{struct_type(PARAM)}>)"
+
+
 def _param(key: str, when: str | None = None, **value: str) -> str:
-    entry = _record(PARAM, key=f"'{key}'", value=_record(PARAM_VALUE, **value))
-    return f"IF({when}, {entry}, NULL)" if when else entry
+    """An array of one parameter, or of none where the condition does not hold."""
+    one = f"array({_record(PARAM, key=repr(key), value=_record(PARAM_VALUE, **value))})"
+    return f"IF({when}, {one}, {_NO_PARAMS})" if when else one
 
 
 def _params(unless: str, *entries: str) -> str:
-    """The entries that are not NULL, or no entry at all."""
-    none = f"CAST(array() AS array<{struct_type(PARAM)}>)"
-    return f"IF({unless}, {none}, array_compact(array({', '.join(entries)})))"
+    """All entries in order, or no entry at all."""
+    return f"IF({unless}, {_NO_PARAMS}, concat({', '.join(entries)}))"
 
 
 def _micros(ts: str) -> str:
@@ -80,7 +83,10 @@ def web_shards(spark: SparkSession, sf_dir: str, event_name: str | None = None)
     """``events`` as visits and purchases of a web shop.
 
     Naming one event here lets the filter reach the files, which a filter on
-    the derived name cannot.
+    the derived name cannot. The events named are about to be filtered by what
+    ``props`` holds, so it is parsed behind a generator of one row: a filter
+    does not move below a generator, where it would parse ``props`` again for
+    every mention of ``k``.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     named = "event_type"
@@ -90,6 +96,10 @@ def web_shards(spark: SparkSession, sf_dir: str, event_name: str | None = None)
         stored = {new: old for old, new in EVENT_NAMES.items()}.get(event_name, event_name)
         events = events.where(events["event_type"] == stored)
         named = f"'{event_name}'"
+    k = "CAST(get_json_object(props, '$.k') AS bigint)"
+    if event_name is not None:
+        events = events.selectExpr("*", f"explode(array({k})) AS parsed")
+        k = "parsed"
     rows = events.selectExpr(
         "event_id",
         "user_id",
@@ -98,7 +108,7 @@ def web_shards(spark: SparkSession, sf_dir: str, event_name: str | None = None)
         "value",
         "date_format(CAST(ts AS timestamp_ntz), 'yyyyMMdd') AS day",
         f"{_micros('CAST(ts AS timestamp_ntz)')} AS micros",
-        "CAST(get_json_object(props, '$.k') AS bigint) AS k",
+        f"{k} AS k",
     )
     items = ", ".join(
         _record(
