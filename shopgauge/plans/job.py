@@ -78,7 +78,9 @@ def _now() -> datetime:
 def load_day(wh: Warehouse, shards: DataFrame, day: str) -> int:
     """Reload one day of both raw tables; returns the rows the day now has."""
     one = shards.where(F.col(SUFFIX) == day)
-    tables.reload_day(raw.raw_events(one), wh.path("raw_events"), day)
+    tables.reload_day(
+        raw.raw_events(one), wh.path("raw_events"), day, cluster_by=EVENT_ORDER
+    )
     tables.reload_day(raw.raw_purchase_items(one), wh.path("raw_purchase_items"), day)
     return sum(
         table.where(F.col(SUFFIX) == day).count() for table in (wh.events(), wh.items())
@@ -113,13 +115,17 @@ def _record(wh: Warehouse, day: str, status: str, rows: int, error: str | None,
 
 
 def backfill(wh: Warehouse, shards: DataFrame, days: list[str]) -> None:
-    """Load many days with one write per raw table and record them together."""
+    """Load many days with one write per raw table and record them together.
+
+    Shards are stored by day, so the write needs no shuffle.
+    """
     began = F.lit(_now())
     wanted = shards.where(F.col(SUFFIX).isin(days))
+    events, items = raw.raw_events(wanted), raw.raw_purchase_items(wanted)
     tables.reload_days(
-        raw.raw_events(wanted), wh.path("raw_events"), days, cluster_by=EVENT_ORDER
+        events, wh.path("raw_events"), days, cluster_by=EVENT_ORDER, by_day_already=True
     )
-    tables.reload_days(raw.raw_purchase_items(wanted), wh.path("raw_purchase_items"), days)
+    tables.reload_days(items, wh.path("raw_purchase_items"), days, by_day_already=True)
     loaded = (
         shard_row_counts(wh.events(), "rows_processed")
         .union(shard_row_counts(wh.items(), "rows_processed"))

@@ -36,12 +36,15 @@ def build_session(app_name: str = "shopgauge", master: str | None = None, **conf
 def scratch_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a session without ``spark.checkpoint.dir`` (a test on one machine)
-    gets a temporary folder of its own.
+    Only a session on one machine may do without ``spark.checkpoint.dir``; it
+    gets a temporary folder. On a cluster a local folder would be lost with its
+    machine, so there the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not named:
         named = _LOCAL["folder"] or tempfile.mkdtemp(prefix="shopgauge-")
         _LOCAL["folder"] = named

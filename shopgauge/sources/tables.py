@@ -38,18 +38,18 @@ def read_table(spark: SparkSession, path: str, columns: dict[str, str]) -> DataF
     return spark.read.schema(ddl(columns)).parquet(path).select(*columns)
 
 
-def reload_day(rows: DataFrame, path: str, day, column: str = SUFFIX) -> None:
+def reload_day(
+    rows: DataFrame, path: str, day, column: str = SUFFIX, cluster_by: tuple = ()
+) -> None:
     """Replace one day of a table partitioned by ``column``.
 
     The day's folder is overwritten as such, so a day that has become empty is
     cleared, and running it twice leaves the same rows as running it once.
     """
-    (
-        rows.where(F.col(column) == day)
-        .drop(column)
-        .write.mode("overwrite")
-        .parquet(f"{path}/{column}={day}")
-    )
+    one = rows.where(F.col(column) == day).drop(column)
+    if cluster_by:
+        one = one.sortWithinPartitions(*cluster_by)
+    one.write.mode("overwrite").parquet(f"{path}/{column}={day}")
 
 
 def reload_days(
@@ -58,17 +58,20 @@ def reload_days(
     days: list | None = None,
     column: str = SUFFIX,
     cluster_by: tuple = (),
+    by_day_already: bool = False,
 ) -> None:
     """Replace many days in one write; all days found in ``rows`` when none are named.
 
     Rows are rebalanced by day first: adaptive execution splits a heavy day
-    over several files and joins light ones. ``cluster_by`` sorts inside the
-    files for row-group statistics. Named days without rows are cleared one by
-    one, since an overwrite by found days would leave them.
+    over several files and joins light ones. Rows read from files of single
+    days (``by_day_already``) are written as they come, without a shuffle.
+    ``cluster_by`` sorts inside the files for row-group statistics. Named days
+    without rows are cleared one by one, since an overwrite by found days would
+    leave them.
     """
     if days is not None:
         rows = rows.where(F.col(column).isin(days))
-    laid_out = rows.hint("rebalance", column)
+    laid_out = rows if by_day_already else rows.hint("rebalance", column)
     if cluster_by:
         laid_out = laid_out.sortWithinPartitions(column, *cluster_by)
     (
