@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.keys import session_key
 from ..sources.shards import SUFFIX
-from .staging import session_starts, sessions_of
+from .staging import session_starts, sessions
 
 
 def after_watermark(
@@ -69,8 +69,17 @@ def touched_sessions(raw: DataFrame, suffixes: list[str]) -> DataFrame:
 
 
 def rebuild_sessions(raw: DataFrame, touched: DataFrame) -> DataFrame:
-    """The touched sessions, from all their events on all days."""
-    return sessions_of(_keyed_starts(raw).join(touched, "session_key", "left_semi"))
+    """The touched sessions, from all their events on all days.
+
+    The days that hold such events are found first, from one row per day and
+    session, and reach the driver as a list of days. Only those days are then
+    read in full. Sessions are built before the join with the touched keys, so
+    a session of very many events is one row by then.
+    """
+    seen = _keyed_starts(raw).select(SUFFIX, "session_key").distinct()
+    days = seen.join(touched, "session_key", "left_semi").select(SUFFIX).distinct().collect()
+    on_days = raw.where(F.col(SUFFIX).isin([row[0] for row in days]))
+    return sessions(on_days).join(touched, "session_key", "left_semi")
 
 
 def merge_sessions(target: DataFrame, rebuilt: DataFrame, touched: DataFrame) -> DataFrame:
@@ -85,4 +94,5 @@ def merge_sessions(target: DataFrame, rebuilt: DataFrame, touched: DataFrame) ->
 
 
 def refresh_sessions(target: DataFrame, raw: DataFrame, touched: DataFrame) -> DataFrame:
+    """A whole session table brought up to date. ``touched`` should be stored."""
     return merge_sessions(target, rebuild_sessions(raw, touched), touched)

@@ -103,6 +103,7 @@ def session_starts(raw: DataFrame) -> DataFrame:
         "user_first_touch_timestamp",
         *SESSION_PARAMS,
         _leaves(SESSION_ATTRIBUTES).alias("attributes"),
+        "source_table_suffix",
     )
 
 
@@ -126,13 +127,9 @@ def sessions(raw: DataFrame) -> DataFrame:
     A sign-in during a session does not split it: the largest user id is kept.
     Repeated deliveries of an event change none of the aggregates.
     """
-    return sessions_of(session_starts(raw))
-
-
-def sessions_of(starts: DataFrame) -> DataFrame:
-    """Sessions from events already pivoted by ``session_starts``."""
     grouped = (
-        starts.groupBy("user_pseudo_id", "ga_session_id")
+        session_starts(raw)
+        .groupBy("user_pseudo_id", "ga_session_id")
         .agg(
             F.max("user_id").alias("user_id"),
             F.min("event_date_dt").alias("session_date"),

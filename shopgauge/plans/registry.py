@@ -284,8 +284,8 @@ def session_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     touched = incremental.touched_sessions(earlier, days).union(
         incremental.touched_sessions(complete, days)
     )
-    target = staging.sessions(earlier)
-    return incremental.refresh_sessions(target, complete, touched.distinct())
+    stored = store(touched.distinct(), "touched_sessions")
+    return incremental.refresh_sessions(staging.sessions(earlier), complete, stored)
 
 
 # --- marts and reports ------------------------------------------------------
