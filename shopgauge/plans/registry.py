@@ -208,7 +208,7 @@ def recent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_count_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return discovery.row_count_anomaly(_ledger(spark, sf_dir), tolerance=0.05)
+    return discovery.row_count_anomaly(_ledger(spark, sf_dir), tolerance=0.01)
 
 
 # --- staging ----------------------------------------------------------------
