@@ -13,7 +13,7 @@ from ..operators import discovery, incremental, marts, quality, raw, reports, st
 from ..schemas import PIPELINE_RUNS, RAW_EVENTS, RAW_PURCHASE_ITEMS
 from ..session import store
 from ..sources import tables
-from ..sources.shards import SUFFIX, shard_row_counts
+from ..sources.shards import SUFFIX, one_shard, shard_row_counts
 
 log = logging.getLogger(__name__)
 
@@ -77,14 +77,12 @@ def _now() -> datetime:
 
 def load_day(wh: Warehouse, shards: DataFrame, day: str) -> int:
     """Reload one day of both raw tables; returns the rows the day now has."""
-    one = shards.where(F.col(SUFFIX) == day)
+    one = one_shard(shards, day)
     tables.reload_day(
         raw.raw_events(one), wh.path("raw_events"), day, cluster_by=EVENT_ORDER
     )
     tables.reload_day(raw.raw_purchase_items(one), wh.path("raw_purchase_items"), day)
-    return sum(
-        table.where(F.col(SUFFIX) == day).count() for table in (wh.events(), wh.items())
-    )
+    return sum(one_shard(table, day).count() for table in (wh.events(), wh.items()))
 
 
 def load_each(wh: Warehouse, shards: DataFrame, days: list[str]) -> list[str]:
