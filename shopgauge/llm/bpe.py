@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from shopgauge.llm.common import slices
+from shopgauge.llm.common import schema_with, slices
 
 #: Entries that a worker keeps between batches; it starts anew beyond them.
 CACHE = 600_000
@@ -182,7 +182,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     named ``ids`` in the input is replaced.
     """
     rest = docs.drop("ids") if "ids" in docs.columns else docs
-    schema = rest.schema.add("ids", "binary")
+    schema = schema_with(rest, "ids binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path)
@@ -196,7 +196,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The rows with a column ``decoded``: the text that the ids stand for."""
     rest = encoded.drop("decoded") if "decoded" in encoded.columns else encoded
-    schema = rest.schema.add("decoded", "string")
+    schema = schema_with(rest, "decoded string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path)

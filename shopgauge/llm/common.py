@@ -8,6 +8,7 @@ from math import ceil
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word is a run of anything but these ASCII blanks (the same ones bytes.split() cuts at).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,3 +59,8 @@ def hashed_below(column: str, share: float, seed: int = 7) -> Column:
     """True for a fixed share of the ids, chosen by their hash and so alike on every run."""
     steps = 1_000_000
     return F.pmod(F.xxhash64(F.col(column), F.lit(seed)), F.lit(steps)) < F.lit(ceil(share * steps))
+
+
+def schema_with(df: DataFrame, fields: str) -> T.StructType:
+    """The columns of ``df`` and the fields named, such as "score double"."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(fields).fields])

@@ -6,9 +6,44 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopgauge.llm import bpe
-from shopgauge.llm.common import table
+from shopgauge.llm import bpe, langid, quality, shards, toxicity, warc
+from shopgauge.llm.common import remainder, table
+from shopgauge.session import scratch_path
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; the lexicon is learned from labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (remainder("doc_id", 5) == 0).alias("held_out"))
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    lexicon = toxicity.fit(docs.where("not held_out").join(labels, "doc_id"))
+    return toxicity.score(docs, lexicon, ["doc_id", "held_out"])
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document; the field is trained on the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality.fit(docs.join(quality_labels(spark, sf_dir), "doc_id"))
+    return quality.judge(docs, field, ["doc_id"])
+
+
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes."""
+    placed = shards.shard_table(table(spark, sf_dir, "documents"), 40)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +51,29 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page into archives in the shared folder and read them back."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path)
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned outside the held-out quarter."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (remainder("doc_id", 4) == 2).alias("held_out"))
+    model = langid.fit(docs.where("not held_out"))
+    return langid.predict(docs, model, ["doc_id", "held_out"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {
+    return {
+        "op1_toxicity": op1_toxicity,
+        "op6_quality": op6_quality,
+        "op7_sharding": op7_sharding,
         "op8_bpe": op8_bpe,
+        "op9_warc": op9_warc,
+        "op10_language": op10_language,
     }
-    return found
 
 
 def oracle_sql() -> dict[str, str]:
