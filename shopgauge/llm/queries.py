@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import bpe, langid, quality, shards, toxicity, warc
+from shopgauge.llm import bpe, langid, lines, pii, quality, shards, toxicity, warc
 from shopgauge.llm.common import remainder, table
 from shopgauge.session import scratch_path
 
@@ -21,6 +21,24 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, lexicon, ["doc_id", "held_out"])
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the stretches of lines that occur before it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])),
+        F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document; the field is trained on the labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,6 +86,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op3_line_dedup": op3_line_dedup,
+        "op4_pii": op4_pii,
         "op6_quality": op6_quality,
         "op7_sharding": op7_sharding,
         "op8_bpe": op8_bpe,
