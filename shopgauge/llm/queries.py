@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import bpe, langid, lines, pii, quality, shards, toxicity, warc
+from shopgauge.llm import bpe, decontaminate, langid, lines, pii, quality, shards, toxicity, warc
 from shopgauge.llm.common import remainder, table
 from shopgauge.session import scratch_path
 
@@ -21,6 +21,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, lexicon, ["doc_id", "held_out"])
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that they hold, one row for each pair."""
+    found = decontaminate.flag(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the stretches of lines that occur before it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -86,6 +92,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_decontamination": op2_decontamination,
         "op3_line_dedup": op3_line_dedup,
         "op4_pii": op4_pii,
         "op6_quality": op6_quality,
