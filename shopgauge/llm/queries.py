@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import bpe, decontaminate, langid, lines, pii, quality, shards, toxicity, warc
+from shopgauge.llm import bpe, decontaminate, jaccard, langid, lines, pii, quality, shards, toxicity, warc
 from shopgauge.llm.common import remainder, table
 from shopgauge.session import scratch_path
 
@@ -45,6 +45,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document, linked from a similarity of 0.8."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document; the field is trained on the labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -95,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": op2_decontamination,
         "op3_line_dedup": op3_line_dedup,
         "op4_pii": op4_pii,
+        "op5_jaccard": op5_jaccard,
         "op6_quality": op6_quality,
         "op7_sharding": op7_sharding,
         "op8_bpe": op8_bpe,
