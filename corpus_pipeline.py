@@ -1,27 +1,58 @@
 """Five operators one after the other over ``documents``.
 
-Each stage is written as Parquet and read again as the next one's input.
+Each stage takes what the one before has kept, is written as Parquet and read
+again. All but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopgauge.llm import bpe
+from shopgauge.llm import bpe, decontaminate, jaccard, lines, quality
+from shopgauge.llm.common import table
 from shopgauge.session import scratch_path
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and whose lines are mostly content."""
+    field = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, field, docs.columns).where("kept").select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the stretches of lines that occur before; ``n_chars`` follows the text."""
+    found = lines.dedup(docs).select(docs.columns)
+    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else found
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id. Rows without an id stay."""
+    found = jaccard.near_duplicates(docs)
+    copies = found.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of what is left."""
     return bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("encode_and_decode", encode_and_decode),
 ]
 
-#: No stage but the last could be said in SQL, and the last is byte-pair encoding.
+#: A trained sequence model, content-defined chunks, components and byte-pair encoding can't be said in SQL.
 ORACLE_SQL = None
 
 

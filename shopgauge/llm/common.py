@@ -61,6 +61,33 @@ def hashed_below(column: str, share: float, seed: int = 7) -> Column:
     return F.pmod(F.xxhash64(F.col(column), F.lit(seed)), F.lit(steps)) < F.lit(ceil(share * steps))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> tuple[DataFrame, dict[int, int], dict[int, float]]:
+    """``doc_id, text, label`` of about ``bound`` documents with each label 0 and 1, how many labels there are, and the shares kept.
+
+    The labels are thinned out by the hash of their id before they meet the
+    documents, so what is broadcast has about ``2 * bound`` rows at any size,
+    and no text is shuffled. Null texts and labels drop out. Of several labels
+    for one id the largest counts.
+    """
+    usable = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    sizes = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
+    shares = {k: fraction_for(bound, n) for k, n in sizes.items()}
+    wanted = F.lit(False)
+    for k, share in shares.items():
+        wanted = wanted | ((F.col("label") == k) & hashed_below("doc_id", share))
+    few = F.broadcast(usable.where(wanted))
+    return docs.select("doc_id", "text").where("text is not null").join(few, "doc_id"), sizes, shares
+
+
+def chosen(docs: DataFrame, keep: list[str], made: tuple[str, ...], text: str = "text") -> tuple[DataFrame, list[str]]:
+    """The columns to carry along and the text besides, and the names of the former.
+
+    A column that bears the name of one that is made gives way to it.
+    """
+    keep = [c for c in keep if c not in made]
+    return docs.select(*keep, *([] if text in keep else [text])), keep
+
+
 def schema_with(df: DataFrame, fields: str) -> T.StructType:
     """The columns of ``df`` and the fields named, such as "score double"."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(fields).fields])

@@ -16,9 +16,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from shopgauge.llm.common import fraction_for, hashed_below, schema_with, slices
+from shopgauge.llm.common import chosen, labelled_sample, schema_with, slices
 
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -191,25 +190,21 @@ def train(stretches: list[list[tuple[int, ...]]], labels: list[int], rounds: int
     return Field(weights.tolist(), steps.tolist())
 
 
-def fit(labelled: DataFrame, texts: int = TEXTS) -> Field:
-    """Train on rows ``doc_id, text, quality`` (0 or 1; other rows teach nothing).
+def fit(docs: DataFrame, labels: DataFrame, texts: int = TEXTS) -> Field:
+    """Train on ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, quality``, 0 or 1; others teach nothing).
 
     About ``texts`` documents of each kind are read; from each come at most
-    ``STRETCHES`` stretches of ``LINES`` lines. Without rows of both kinds the
+    ``STRETCHES`` stretches of ``LINES`` lines. Without labels of both kinds the
     field calls everything content.
     """
-    usable = labelled.where("text is not null and quality in (0, 1)").select("doc_id", "text", F.col("quality").cast("int").alias("quality"))
-    sizes = {r["quality"]: r["count"] for r in usable.groupBy("quality").count().collect()}
+    usable, sizes, _ = labelled_sample(docs, labels, "quality", texts)
     if len(sizes) < 2:
         return Field([0.0] * len(FEATURES), [[0.0, 0.0], [0.0, 0.0]])
-    wanted = F.lit(False)
-    for kind, size in sizes.items():
-        wanted = wanted | ((F.col("quality") == kind) & hashed_below("doc_id", fraction_for(texts, size)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 256, 4_000_000):
             out, kinds = [], []
-            for text, kind in zip(part.column("text").to_pylist(), part.column("quality").to_pylist(), strict=True):
+            for text, kind in zip(part.column("text").to_pylist(), part.column("label").to_pylist(), strict=True):
                 lines = [f for _, f in measure(text).lines]
                 starts = range(0, len(lines), LINES)
                 for at in [*starts][:: max(1, len(starts) // STRETCHES)][:STRETCHES]:
@@ -217,8 +212,10 @@ def fit(labelled: DataFrame, texts: int = TEXTS) -> Field:
                     kinds.append(kind)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.list_(pa.int32()))), pa.array(kinds, pa.int32())], ["lines", "quality"])
 
-    rows = usable.where(wanted).mapInArrow(run, "lines array<array<int>>, quality int").toArrow()
+    rows = usable.mapInArrow(run, "lines array<array<int>>, quality int").toArrow()
     # a fixed order, so that sums of floats come out alike on every run
+    if not rows.num_rows:
+        return Field([0.0] * len(FEATURES), [[0.0, 0.0], [0.0, 0.0]])
     made = sorted(zip(rows.column("lines").to_pylist(), rows.column("quality").to_pylist(), strict=True))
     return train([x for x, _ in made], [q for _, q in made])
 
@@ -229,6 +226,7 @@ def judge(docs: DataFrame, field: Field, keep: list[str], share: float = SHARE)
     Null and empty texts have no words, fail the base rules and aren't kept.
     Every row stands alone, so repeated rows are judged alike.
     """
+    rows, keep = chosen(docs, keep, ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "content_share", "kept"))
     shared = docs.sparkSession.sparkContext.broadcast(field)
     fields = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
     schema = schema_with(docs.select(*keep), fields)
@@ -244,4 +242,4 @@ def judge(docs: DataFrame, field: Field, keep: list[str], share: float = SHARE)
             made = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()], strict=True)]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *made], schema.names)
 
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

@@ -53,14 +53,10 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document; the field is trained on the labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    field = quality.fit(docs.join(quality_labels(spark, sf_dir), "doc_id"))
+    field = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, field, ["doc_id"])
 
 
-def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-
-
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes."""
     placed = shards.shard_table(table(spark, sf_dir, "documents"), 40)
