@@ -47,12 +47,38 @@ def incomplete_dates(
 
 
 def dates_to_process(
-    shards: DataFrame, raw: DataFrame, ledger: DataFrame, override: str | None = None
+    shards: DataFrame,
+    raw: DataFrame,
+    ledger: DataFrame,
+    override: str | None = None,
+    lookback_days: int | None = None,
+    today: Column | None = None,
 ) -> DataFrame:
-    """Missing and incomplete days; an override names the only day."""
+    """Missing and incomplete days; an override names the only day.
+
+    ``lookback_days`` limits the recount of loaded days, not the missing ones.
+    """
     if override is not None:
         return shards.sparkSession.createDataFrame([(override,)], "date_suffix string")
-    return missing_dates(shards, ledger).union(incomplete_dates(shards, raw)).distinct()
+    behind = incomplete_dates(shards, raw, lookback_days, today)
+    return missing_dates(shards, ledger).union(behind).distinct()
+
+
+def days_to_stage(ledger: DataFrame) -> DataFrame:
+    """Days whose raw tables a load has touched since they were last staged.
+
+    A failed load counts too, since it may have replaced one of the tables. A
+    stage covers the loads that ended before it began.
+    """
+    loaded = F.max(F.when(F.col("layer") == "raw", F.col("completed_at")))
+    staged = F.max(
+        F.when((F.col("layer") == "staging") & (F.col("status") == "success"), F.col("started_at"))
+    )
+    latest = ledger.groupBy("run_date").agg(loaded.alias("loaded"), staged.alias("staged"))
+    behind = F.col("loaded").isNotNull() & (
+        F.col("staged").isNull() | (F.col("loaded") > F.col("staged"))
+    )
+    return latest.where(behind).select(day_suffix("run_date").alias("date_suffix"))
 
 
 def day_list(dates: DataFrame) -> list[str]:
@@ -61,13 +87,18 @@ def day_list(dates: DataFrame) -> list[str]:
 
 
 def ledger_runs(
-    rows_per_day: DataFrame, status: Column, error: Column, started: Column, completed: Column
+    rows_per_day: DataFrame,
+    status: Column,
+    error: Column,
+    started: Column,
+    completed: Column,
+    layer: str = "raw",
 ) -> DataFrame:
     """Ledger rows for many days, from ``date_suffix`` and ``rows_processed``."""
     return rows_per_day.select(
         F.uuid().alias("run_id"),
         parse_suffix("date_suffix").alias("run_date"),
-        F.lit("raw").alias("layer"),
+        F.lit(layer).alias("layer"),
         status.alias("status"),
         F.when(status == "success", F.col("rows_processed"))
         .otherwise(0)
@@ -79,7 +110,7 @@ def ledger_runs(
         ((F.unix_micros(completed) - F.unix_micros(started)) / F.lit(1e6)).alias(
             "duration_seconds"
         ),
-    ).select(*PIPELINE_RUNS)
+    ).select(*[F.col(name).cast(kind.removesuffix(" not null")).alias(name) for name, kind in PIPELINE_RUNS.items()])
 
 
 def recent_runs(ledger: DataFrame, as_of: Column | None = None, days: int = 7) -> DataFrame:

@@ -68,6 +68,12 @@ def touched_sessions(raw: DataFrame, suffixes: list[str]) -> DataFrame:
     return _keyed_starts(on_days).select("session_key").distinct()
 
 
+def purchase_dates(raw: DataFrame, suffixes: list[str]) -> DataFrame:
+    """Dates of the events that the shards of some days hold; events without one have no partition to rebuild."""
+    on_days = raw.where(F.col(SUFFIX).isin(suffixes) & F.col("event_date_dt").isNotNull())
+    return on_days.select("event_date_dt").distinct()
+
+
 def rebuild_sessions(raw: DataFrame, touched: DataFrame) -> DataFrame:
     """The touched sessions, from all their events on all days.
 

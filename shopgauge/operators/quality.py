@@ -130,6 +130,36 @@ def source_vs_raw(shards: DataFrame, raw: DataFrame) -> DataFrame:
     return both.where(~same)
 
 
+def collapsed_purchases(events: DataFrame) -> DataFrame:
+    """Purchase events delivered more than once, and those whose copies differ.
+
+    ``events`` as ``staging.purchase_events`` gives them. Copies merge before
+    the shuffle, so any number of them costs one row per task.
+    """
+    body = [name for name in events.columns if name != "event_id"]
+    copies = events.groupBy("event_id").agg(
+        F.count("*").alias("n"), F.min(F.struct(*body)).alias("low"), F.max(F.struct(*body)).alias("high")
+    )
+    counted = copies.agg(
+        F.count_if(F.col("n") > 1).alias("repeated"),
+        F.count_if(~F.col("low").eqNullSafe(F.col("high"))).alias("differing"),
+    )
+    rows = F.array(
+        *[
+            F.struct(F.lit(f"{kind} stg_purchases.event_id").alias("check_name"), F.col(kind).alias("n"))
+            for kind in ("repeated", "differing")
+        ]
+    )
+    return counted.select(F.explode(rows).alias("r")).select(
+        "r.check_name", F.col("r.n").alias("failing_rows")
+    )
+
+
+def days_differing(differences: DataFrame) -> DataFrame:
+    """The days of ``source_vs_raw`` as one check row."""
+    return _summary("source_vs_raw", differences)
+
+
 def gate(checks: DataFrame) -> None:
     """Raise when any check has failing rows. One row per check reaches the driver."""
     failed = checks.where(F.col("failing_rows") > 0).orderBy("check_name").collect()

@@ -13,7 +13,7 @@ from ..operators import discovery, incremental, marts, quality, raw, reports, st
 from ..schemas import PIPELINE_RUNS, RAW_EVENTS, RAW_PURCHASE_ITEMS
 from ..session import store
 from ..sources import tables
-from ..sources.shards import SUFFIX, one_shard, shard_row_counts
+from ..sources.shards import SUFFIX, one_shard, shard_dates, shard_row_counts
 
 log = logging.getLogger(__name__)
 
@@ -34,6 +34,10 @@ STAGED_BY_DAY = {
 }
 
 
+# What reloads have taken away and staging has yet to follow.
+PENDING = {"pending_sessions": {"session_key": "string"}, "pending_dates": {"event_date_dt": "date"}}
+
+
 class Warehouse:
     """Tables below one folder that all executors reach."""
 
@@ -65,6 +69,16 @@ class Warehouse:
         tables.create_if_absent(self.spark, self.path("raw_events"), RAW_EVENTS)
         tables.create_if_absent(self.spark, self.path("raw_purchase_items"), RAW_PURCHASE_ITEMS)
         tables.create_if_absent(self.spark, self.path("pipeline_runs"), PIPELINE_RUNS)
+        for name, columns in PENDING.items():
+            tables.create_if_absent(self.spark, self.path(name), columns)
+
+    def pending(self, name: str) -> DataFrame:
+        return tables.read_table(self.spark, self.path(name), PENDING[name])
+
+    def staged(self) -> bool:
+        """False until every staging table has been built once."""
+        names = [*STAGED_BY_DAY, "stg_users"]
+        return all(tables.table_exists(self.spark, self.path(name)) for name in names)
 
 
 def _date(suffix: str) -> date:
@@ -72,7 +86,8 @@ def _date(suffix: str) -> date:
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    """The instant, with its zone: Spark would read one without in the driver's own zone."""
+    return datetime.now(timezone.utc)
 
 
 def load_day(wh: Warehouse, shards: DataFrame, day: str) -> int:
@@ -105,9 +120,11 @@ def load_each(wh: Warehouse, shards: DataFrame, days: list[str]) -> list[str]:
 
 def _record(wh: Warehouse, day: str, status: str, rows: int, error: str | None, began) -> None:
     try:
-        tables.append_run(
-            wh.spark, wh.path("pipeline_runs"), _date(day), status, rows, error, began, _now()
+        loaded = wh.spark.createDataFrame([(day, rows)], "date_suffix string, rows_processed bigint")
+        runs = discovery.ledger_runs(
+            loaded, F.lit(status), F.lit(error).cast("string"), F.lit(began), F.lit(_now())
         )
+        tables.append_runs(runs, wh.path("pipeline_runs"))
     except Exception as problem:  # the load itself stands
         log.warning("run of %s not recorded: %s", day, problem)
 
@@ -137,23 +154,59 @@ def backfill(wh: Warehouse, shards: DataFrame, days: list[str]) -> None:
     tables.append_runs(runs, wh.path("pipeline_runs"))
 
 
-def stage(wh: Warehouse, days: list[str] | None, touched: DataFrame | None = None) -> None:
-    """Bring the staging tables up to date with reloaded days; None builds them whole."""
+def note_touched(wh: Warehouse, days: list[str]) -> None:
+    """Keep what a reload of ``days`` is about to take away, until staging has followed.
+
+    The sessions with an event on those days and the dates of their purchases
+    are appended to tables of the warehouse, where a later run finds them if
+    this one ends in between.
+    """
+    events = wh.events()
+    touched = incremental.touched_sessions(events, days)
+    touched.write.mode("append").parquet(wh.path("pending_sessions"))
+    dates = incremental.purchase_dates(events, days).union(incremental.purchase_dates(wh.items(), days))
+    dates.distinct().write.mode("append").parquet(wh.path("pending_dates"))
+
+
+def stage(wh: Warehouse, days: list[str] | None) -> None:
+    """Bring the staging tables up to date with reloaded days; None builds them whole.
+
+    Purchases and items are stored by the date of the event, which may differ
+    from the day of the shard. So the dates that reloaded days hold, or held
+    before, are found first, and are rebuilt from all shards that have them.
+    The ledger then says that the days are staged.
+    """
+    began = _now()
     events, items = wh.events(), wh.items()
     if days is None:
+        staged = shard_dates(events).union(discovery.days_to_stage(wh.ledger())).distinct()
         for name, (build, column) in STAGED_BY_DAY.items():
             laid_out = build(wh).hint("rebalance", column)
             laid_out.write.mode("overwrite").partitionBy(column).parquet(wh.path(name))
     else:
-        dates = [_date(day) for day in days]
-        reloaded = F.col(SUFFIX).isin(days)
+        staged = wh.spark.createDataFrame([(day,) for day in days], "date_suffix string")
+        now = incremental.purchase_dates(events, days).union(incremental.purchase_dates(items, days))
+        dates = [row[0] for row in now.union(wh.pending("pending_dates")).distinct().collect()]  # one per day
+        held = F.col("event_date_dt").isin(dates)
         for name, rows in {
-            "stg_purchases": staging.purchases(events.where(reloaded)),
-            "stg_purchase_items": staging.purchase_items(items.where(reloaded)),
+            "stg_purchases": staging.purchases(events.where(held)),
+            "stg_purchase_items": staging.purchase_items(items.where(held)),
         }.items():
             tables.reload_days(rows, wh.path(name), dates, "purchase_date")
-        _refresh_sessions(wh, touched)
+        touched = incremental.touched_sessions(events, days).union(wh.pending("pending_sessions"))
+        _refresh_sessions(wh, store(touched.distinct(), "touched"))
     tables.rebuild(staging.users(events, wh.table("stg_purchases")), wh.path("stg_users"))
+    done = discovery.ledger_runs(
+        staged.withColumn("rows_processed", F.lit(0)),
+        F.lit("success"),
+        F.lit(None).cast("string"),
+        F.lit(began),
+        F.lit(_now()),
+        layer="staging",
+    )
+    tables.append_runs(done, wh.path("pipeline_runs"))
+    for name, columns in PENDING.items():
+        tables.clear(wh.spark, wh.path(name), columns)
 
 
 def _refresh_sessions(wh: Warehouse, touched: DataFrame) -> None:
@@ -241,29 +294,50 @@ def run(
     root: str,
     override: str | None = None,
     full_refresh: bool = False,
+    lookback_days: int | None = None,
 ) -> dict:
-    """One run from source shards to reports; raises when a check fails."""
+    """One run from source shards to reports; raises when a check fails.
+
+    Days that an earlier run has loaded and not staged are staged by this one.
+    ``lookback_days`` recounts only the last days; missing days are always found.
+    """
     wh = Warehouse(spark, root)
     wh.ensure_raw()
-    first = not tables.table_exists(spark, wh.path("stg_sessions"))
+    whole = full_refresh or not wh.staged()
     days = discovery.day_list(
-        discovery.dates_to_process(shards, wh.events(), wh.ledger(), override)
+        discovery.dates_to_process(shards, wh.events(), wh.ledger(), override, lookback_days)
     )
-    if not days and first:
-        return {"days": []}
-    if first or full_refresh:
+    failed: list[str] = []
+    if whole:
         if days:
             backfill(wh, shards, days)
+        elif wh.ledger().isEmpty():
+            return {"days": []}
         stage(wh, None)
-    elif days:
-        before = store(incremental.touched_sessions(wh.events(), days), "touched_before")
-        failed = load_each(wh, shards, days)
-        after = incremental.touched_sessions(wh.events(), days)
+    else:
+        if days:
+            note_touched(wh, days)
+            failed = load_each(wh, shards, days)
         # Staging follows the raw tables as they are now, failed days included.
-        stage(wh, days, store(before.union(after).distinct(), "touched"))
+        behind = discovery.day_list(discovery.days_to_stage(wh.ledger()))
+        if behind:
+            stage(wh, behind)
         if failed:
             raise RuntimeError(f"days not loaded: {', '.join(failed)}")
     build_marts(wh)
-    quality.gate(all_checks(wh.table))
+    loaded = F.col(SUFFIX).isin(days)
+    quality.gate(
+        quality.combine(
+            [
+                all_checks(wh.table),
+                quality.collapsed_purchases(staging.purchase_events(wh.events().where(loaded))).where(
+                    F.col("check_name").startswith("differing")
+                ),
+                quality.days_differing(
+                    quality.source_vs_raw(shards.where(loaded), wh.events().where(loaded))
+                ),
+            ]
+        )
+    )
     publish(wh)
     return {"days": days}

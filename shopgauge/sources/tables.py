@@ -6,11 +6,8 @@ reload replaces folders of whole days and a reader skips the other days.
 
 from __future__ import annotations
 
-import uuid
-from datetime import datetime
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import PIPELINE_RUNS, ddl
@@ -67,10 +64,13 @@ def reload_days(
     days (``by_day_already``) are written as they come, without a shuffle.
     ``cluster_by`` sorts inside the files for row-group statistics. Named days
     without rows are cleared one by one, since an overwrite by found days would
-    leave them.
+    leave them; which days have rows is observed while they are written.
     """
+    if days == []:
+        return
+    seen = Observation()
     if days is not None:
-        rows = rows.where(F.col(column).isin(days))
+        rows = rows.where(F.col(column).isin(days)).observe(seen, F.collect_set(column).alias("days"))
     laid_out = rows if by_day_already else rows.hint("rebalance", column)
     if cluster_by:
         laid_out = laid_out.sortWithinPartitions(column, *cluster_by)
@@ -81,46 +81,21 @@ def reload_days(
         .parquet(path)
     )
     if days is not None:
-        found = {row[0] for row in rows.select(column).distinct().collect()}  # one per day
-        for day in sorted(set(days) - found):
+        for day in sorted(set(days) - set(seen.get["days"] or [])):  # one per day
             reload_day(rows, path, day, column)
 
 
+def clear(spark: SparkSession, path: str, columns: dict[str, str]) -> None:
+    """Empty a table with declared columns."""
+    spark.createDataFrame([], ddl(columns)).write.mode("overwrite").parquet(path)
+
+
 def rebuild(df: DataFrame, path: str) -> DataFrame:
     """Replace a whole table and read it back. ``df`` must not read from ``path``."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def append_run(
-    spark: SparkSession,
-    path: str,
-    run_date,
-    status: str,
-    rows_processed: int = 0,
-    error_message: str | None = None,
-    started_at: datetime | None = None,
-    completed_at: datetime | None = None,
-) -> None:
-    """Add one attempt at one day to the run ledger."""
-    duration = None
-    if started_at and completed_at:
-        duration = (completed_at - started_at).total_seconds()
-    row = (
-        str(uuid.uuid4()),
-        run_date,
-        "raw",
-        status,
-        int(rows_processed or 0),
-        error_message,
-        started_at,
-        completed_at,
-        duration,
-    )
-    frame = spark.createDataFrame([row], ddl(PIPELINE_RUNS))
-    frame.write.mode("append").parquet(path)
-
-
 def append_runs(runs: DataFrame, path: str) -> None:
     """Add many attempts at once, such as the days of a backfill."""
     runs.select(*PIPELINE_RUNS).write.mode("append").parquet(path)

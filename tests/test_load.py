@@ -102,8 +102,12 @@ def test_ledger_append(spark, tmp_path):
     path = str(tmp_path / "runs")
     tables.create_if_absent(spark, path, PIPELINE_RUNS)
     began, ended = datetime(2024, 1, 5, 6), datetime(2024, 1, 5, 6, 1, 30)
-    tables.append_run(spark, path, date(2024, 1, 4), "success", 12, None, began, ended)
-    tables.append_run(spark, path, date(2024, 1, 5), "failed", error_message="it's \"bad\"")
+    day = spark.createDataFrame([("20240104", 12)], "date_suffix string, rows_processed bigint")
+    none, later = F.lit(None), F.lit(ended)
+    tables.append_runs(discovery.ledger_runs(day, F.lit("success"), none, F.lit(began), later), path)
+    bad = day.withColumn("date_suffix", F.lit("20240105"))
+    error = F.lit("it's \"bad\"")
+    tables.append_runs(discovery.ledger_runs(bad, F.lit("failed"), error, none.cast("timestamp"), later), path)
     stored = tables.read_table(spark, path, PIPELINE_RUNS)
     got = rows_of(stored, "status", "rows_processed", "duration_seconds", "error_message")
     assert got == [("failed", 0, None, 'it\'s "bad"'), ("success", 12, 90.0, None)]
@@ -179,7 +183,7 @@ def test_job_day_by_day_equals_full_run(spark, tmp_path):
     assert report.columns[0] == "Date"
     assert [r["Date"] for r in report.collect()] == ["2024-01-01", "2024-01-02", "2024-01-03"]
     runs = job.Warehouse(spark, step).ledger()
-    assert rows_of(runs, "run_date", "status", "rows_processed") == [
+    assert rows_of(runs.where("layer = 'raw'"), "run_date", "status", "rows_processed") == [
         (date(2024, 1, 1), "success", 1),
         (date(2024, 1, 2), "success", 4),
         (date(2024, 1, 3), "success", 2),
@@ -205,7 +209,7 @@ def test_failed_day_is_recorded_and_the_rest_loaded(spark, tmp_path):
     with pytest.raises(RuntimeError, match="20240104"):
         job.run(spark, source, root)
     wh = job.Warehouse(spark, root)
-    status = dict(rows_of(wh.ledger(), "run_date", "status"))
+    status = dict(rows_of(wh.ledger().where("layer = 'raw'"), "run_date", "status"))
     assert status[date(2024, 1, 4)] == "failed"
     assert status[date(2024, 1, 3)] == "success"
     assert wh.table("stg_purchases").count() == 2
@@ -217,3 +221,97 @@ def test_failing_check_stops_the_reports(spark, tmp_path):
     with pytest.raises(quality.CheckFailed, match="relationships"):
         job.run(spark, shards(spark, three_days() + [orphan]), root)
     assert not tables.table_exists(spark, f"{root}/reports/daily_metrics")
+
+
+def moved(row: dict, day: str) -> dict:
+    """The event in the shard of another day."""
+    return {**row, "source_table_suffix": day}
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_a_run_that_breaks_while_staging_is_made_good(spark, tmp_path, monkeypatch, first):
+    step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
+    if not first:
+        job.run(spark, shards(spark, three_days()[:1]), step)
+    fewer = [r for r in three_days() if r["user_pseudo_id"] != "v"]
+    source = shards(spark, three_days())
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(staging, "users", broken)
+        with pytest.raises(OSError):
+            job.run(spark, source, step)
+    assert job.run(spark, source, step) == {"days": []}
+    job.run(spark, source, whole)
+    assert stored(job.Warehouse(spark, step)) == stored(job.Warehouse(spark, whole))
+    # a reload that takes rows away, broken in between, is followed as well
+    with monkeypatch.context() as patch:
+        patch.setattr(job, "stage", broken)
+        with pytest.raises(OSError):
+            job.run(spark, shards(spark, fewer), step, override="20240102")
+    assert job.run(spark, shards(spark, fewer), step, override="20240103")["days"] == ["20240103"]
+    again = str(tmp_path / "again")
+    job.run(spark, shards(spark, fewer), again)
+    assert stored(job.Warehouse(spark, step)) == stored(job.Warehouse(spark, again))
+
+
+def test_events_dated_otherwise_than_their_shard(spark, tmp_path):
+    late = moved(purchase("20240102", "w", "t9", items=ITEMS), "20240103")
+    everything = three_days() + [late]
+    step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
+    job.run(spark, shards(spark, three_days()[:4]), step)
+    job.run(spark, shards(spark, everything), step)
+    job.run(spark, shards(spark, everything), whole)
+    expected = stored(job.Warehouse(spark, whole))
+    assert stored(job.Warehouse(spark, step)) == expected
+    for day in ("20240102", "20240103"):
+        job.run(spark, shards(spark, everything), step, override=day)
+        assert stored(job.Warehouse(spark, step)) == expected
+    job.run(spark, shards(spark, three_days()), step, override="20240103")
+    assert "t9" not in [r for (r,) in rows_of(job.Warehouse(spark, step).table("stg_purchases"), "transaction_id")]
+
+
+def test_differing_copies_stop_the_reports(spark, tmp_path):
+    twice = [purchase("20240101", "u", "t", revenue=x, items=ITEMS) for x in (10.0, 99.0)]
+    with pytest.raises(quality.CheckFailed, match="differing stg_purchases.event_id: 1"):
+        job.run(spark, shards(spark, twice + three_days()), str(tmp_path / "a"))
+    same = [purchase("20240101", "u", "t")] * 2
+    assert job.run(spark, shards(spark, same + three_days()), str(tmp_path / "b"))["days"]
+
+
+def test_ledger_clock_in_another_zone(spark, tmp_path, monkeypatch):
+    import time
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        job.run(spark, shards(spark, three_days()), str(tmp_path))
+        began = job.Warehouse(spark, str(tmp_path)).ledger().agg(F.max(F.unix_seconds("started_at"))).first()[0]
+        assert abs(began - time.time()) < 600
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_lookback_reaches_the_job(spark, tmp_path):
+    root = str(tmp_path)
+    job.run(spark, shards(spark, three_days()[:1] + three_days()[2:]), root)
+    more = three_days() + [visit("20240101", "z", 3)]
+    assert job.run(spark, shards(spark, more), root, lookback_days=3) == {"days": []}
+    assert job.run(spark, shards(spark, more), root) == {"days": ["20240101"]}
+
+
+def test_days_to_stage(spark):
+    at = lambda h: datetime(2024, 1, 9, h)
+    rows = [
+        ("1", date(2024, 1, 1), "raw", "success", 1, None, at(1), at(2), 0.0),
+        ("2", date(2024, 1, 1), "staging", "success", 0, None, at(3), at(4), 0.0),
+        ("3", date(2024, 1, 2), "raw", "failed", 0, None, at(1), at(4), 0.0),
+        ("4", date(2024, 1, 2), "staging", "success", 0, None, at(3), at(5), 0.0),
+        ("5", date(2024, 1, 3), "raw", "success", 1, None, at(1), at(2), 0.0),
+        ("6", date(2024, 1, 3), "staging", "failed", 0, None, at(3), at(4), 0.0),
+    ]
+    runs = spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in PIPELINE_RUNS.items()))
+    assert discovery.day_list(discovery.days_to_stage(runs)) == ["20240102", "20240103"]

@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from shopgauge.plans import oracles, registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
