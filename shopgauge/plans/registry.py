@@ -14,7 +14,7 @@ from ..schemas import PIPELINE_RUNS, RAW_EVENTS, RAW_PURCHASE_ITEMS
 from ..session import scratch_path, store
 from ..sources import tables
 from ..sources.driver_tables import order_shards, web_shards
-from ..sources.shards import SUFFIX, shard_dates, shard_row_counts
+from ..sources.shards import SUFFIX, in_range, shard_dates, shard_row_counts
 from . import job
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -385,6 +385,92 @@ def dq_source_vs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.source_vs_raw(shards, _raw_copy(shards))
 
 
+def _delivered_again(events: DataFrame) -> DataFrame:
+    """Events of which some come twice, and some a second time with another revenue."""
+    stamp = F.col("event_timestamp")
+    more = F.col("ecommerce.purchase_revenue_in_usd") + 1
+    changed = events.where(stamp % 17 == 0).withColumn(
+        "ecommerce", F.col("ecommerce").withField("purchase_revenue_in_usd", more)
+    )
+    return events.unionByName(events.where(stamp % 13 == 0)).unionByName(changed)
+
+
+def purchase_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases of which some were delivered again: one row each, of the smallest values."""
+    again = _delivered_again(_events(spark, sf_dir, "purchase"))
+    return staging.purchases(again).select("event_id", "transaction_id", "revenue_usd")
+
+
+def dq_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    again = _delivered_again(_events(spark, sf_dir, "purchase"))
+    return quality.collapsed_purchases(staging.purchase_events(again))
+
+
+def purchase_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases after late shards arrive, some events lying in the next day's shard.
+
+    The dates that the reloaded shards held and hold are rebuilt from all shards.
+    """
+    next_day = F.date_format(F.date_add(parse_suffix(SUFFIX), 1), "yyyyMMdd")
+    moved = F.when(F.col("event_timestamp") % 10 == 3, next_day).otherwise(F.col(SUFFIX))
+    shards = web_shards(spark, sf_dir, "purchase").withColumn(SUFFIX, moved)
+    before, after = raw.raw_events(_raw_copy(shards)), raw.raw_events(shards)
+    days = discovery.day_list(discovery.incomplete_dates(shards, before))
+    touched = incremental.purchase_dates(before, days).union(incremental.purchase_dates(after, days))
+    dates = [row[0] for row in touched.distinct().collect()]  # one per day
+    rebuilt = staging.purchases(after.where(F.col("event_date_dt").isin(dates)))
+    fresh = incremental.replace_days(staging.purchases(before), rebuilt, "purchase_date", dates)
+    return fresh.select("purchase_date", "event_timestamp", "user_pseudo_id", "transaction_id", "revenue_usd")
+
+
+def days_to_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days not staged since their last load: two of three were staged half an hour after the first."""
+    loads = store(_ledger(spark, sf_dir), "ledger")
+    day = F.dayofmonth("run_date")
+    began = F.col("run_date").cast("timestamp") + F.make_dt_interval(hours=F.lit(6), mins=F.lit(30))
+    staged = (
+        loads.where(day % 3 != 0)
+        .withColumn("layer", F.lit("staging"))
+        .withColumn("status", F.lit("success"))
+        .withColumn("started_at", began)
+        .withColumn("completed_at", began)
+    )
+    return discovery.days_to_stage(loads.unionByName(staged))
+
+
+def shard_range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per day of the days 10 to 19 of the month that the events are from."""
+    shards = web_shards(spark, sf_dir)
+    month = shards.agg(F.min(SUFFIX)).first()[0][:6]
+    return shard_row_counts(in_range(shards, f"{month}10", f"{month}19"))
+
+
+def dq_planted_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks over tables with faults planted on certain days."""
+    sessions = store(_sessions(spark, sf_dir), "sessions")
+    days = store(_customer_days(spark, sf_dir), "customer_days")
+    daily = store(marts.daily_metrics(days, sessions), "daily")
+    weekly = marts.weekly_metrics(daily, days)
+    start, day = F.dayofmonth("session_date"), F.dayofmonth("date")
+
+    def planted(df: DataFrame, where: Column, column: str, value: Column) -> DataFrame:
+        return df.withColumn(column, F.when(where, value).otherwise(F.col(column)))
+
+    more = F.col("total_orders") + 1
+    off = F.col("gross_revenue") + 0.02
+    no_user = F.lit(None).cast("string")
+    return quality.combine(
+        [
+            quality.unique("stg_sessions", sessions.unionByName(sessions.where(start == 3)), "session_key"),
+            quality.not_null("stg_sessions", planted(sessions, start == 4, "user_pseudo_id", no_user), ["user_pseudo_id"]),
+            quality.net_revenue_identity(planted(daily, day % 5 == 0, "net_revenue", F.col("net_revenue") + 0.02)),
+            quality.new_customers_within_orders(planted(daily, day % 4 == 0, "new_customers", more)),
+            quality.rate_non_negative(planted(daily, day % 7 == 0, "conversion_rate", F.lit(-0.1))),
+            quality.weekly_reconciles(planted(weekly, F.dayofmonth("week_start") % 2 == 0, "gross_revenue", off), daily),
+        ]
+    )
+
+
 # --- the list ---------------------------------------------------------------
 
 QUERIES: dict[str, Query] = {
@@ -430,6 +516,12 @@ QUERIES: dict[str, Query] = {
     "dq_rate_non_negative": dq_rate_non_negative,
     "dq_weekly_reconciles": dq_weekly_reconciles,
     "dq_source_vs_raw": dq_source_vs_raw,
+    "dq_collapsed": dq_collapsed,
+    "dq_planted_faults": dq_planted_faults,
+    "purchase_redelivery": purchase_redelivery,
+    "purchase_refresh": purchase_refresh,
+    "days_to_stage": days_to_stage,
+    "shard_range_counts": shard_range_counts,
 }
 
 
