@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopgauge.llm.common import fraction_for, hashed_below, schema_with, slices
+from shopgauge.llm.common import chosen, fraction_for, hashed_below, schema_with, slices
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Training texts per language, chosen by the hash of their id.
@@ -158,6 +158,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     language that sorts first. Texts are read whole; each row stands alone, so
     repeated rows get the same answer.
     """
+    rows, keep = chosen(docs, keep, ("lang_pred", "score"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = schema_with(docs.select(*keep), "lang_pred string, score double")
 
@@ -168,4 +169,4 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             more = [pa.array([x[0] for x in said], pa.string()), pa.array([x[1] for x in said], pa.float64())]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *more], [*keep, "lang_pred", "score"])
 
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

@@ -16,8 +16,8 @@ from shopgauge.session import scratch_path
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; the lexicon is learned from labels outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (remainder("doc_id", 5) == 0).alias("held_out"))
-    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    lexicon = toxicity.fit(docs.where("not held_out").join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
+    lexicon = toxicity.fit(docs, labels)
     return toxicity.score(docs, lexicon, ["doc_id", "held_out"])
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgauge.llm.common import fraction_for, hashed_below, schema_with, slices
+from shopgauge.llm.common import chosen, labelled_sample, schema_with, slices
 
 # Letters of other scripts that look like Latin ones, and signs that stand for letters.
 LOOK_ALIKE = dict(zip("авсԁеһіјкӏмпорԛѕтиѵѡхузαβεηικνορτυχωϲıɑɡʟո", "abcdehijklmnopqstuvwxy3abenikvoptuxwciagln", strict=True))
@@ -171,22 +171,18 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(map(float, w))
 
 
-def fit(labelled: DataFrame, texts: int = TEXTS, least: int = 5, exceptions: tuple[str, ...] = ()) -> Lexicon:
-    """Learn from rows ``doc_id, text, toxic`` (0 or 1; null texts and labels teach nothing).
+def fit(docs: DataFrame, labels: DataFrame, texts: int = TEXTS, least: int = 5, exceptions: tuple[str, ...] = ()) -> Lexicon:
+    """Learn from ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``, 0 or 1; others teach nothing).
 
-    About ``texts`` rows of each kind are read. An entry must be in ``least``
+    About ``texts`` documents of each kind are read. An entry must be in ``least``
     toxic texts, and its log odds must be four of their standard errors above
     nought. With ``exceptions`` come phrases that are always excepted. Without
-    toxic rows the lexicon is empty and every text scores alike.
+    labels of both kinds the lexicon is empty and every text scores alike.
     """
-    usable = labelled.where("text is not null and toxic in (0, 1)").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    sizes = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
+    rows, sizes, share = labelled_sample(docs, labels, "toxic", texts)
+    rows = rows.withColumnRenamed("label", "toxic")
     if not sizes.get(1) or not sizes.get(0):
         return Lexicon(exceptions=list(exceptions))
-    share = [fraction_for(texts, sizes[k]) for k in (0, 1)]
-    rows = usable.where(
-        ((F.col("toxic") == 1) & hashed_below("doc_id", share[1])) | ((F.col("toxic") == 0) & hashed_below("doc_id", share[0]))
-    )
     toxic, clean = sizes[1] * share[1], sizes[0] * share[0]
     a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
     odds = F.log(a / (toxic - F.col("toxic") + 1)) - F.log(b / (clean - F.col("clean") + 1))
@@ -203,7 +199,7 @@ def fit(labelled: DataFrame, texts: int = TEXTS, least: int = 5, exceptions: tup
     lexicon = Lexicon({r["term"]: r["odds"] for r in top}, list(exceptions))
     if not lexicon.entries:
         return lexicon
-    spark = labelled.sparkSession
+    spark = docs.sparkSession
 
     def finder():
         matcher = Matcher(shared.value)
@@ -235,6 +231,7 @@ def score(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
     Whole texts are read. Null and empty texts have no match and get the score
     of a text without matches. Rows stand alone; ties at 0.5 count as toxic.
     """
+    rows, keep = chosen(docs, keep, ("score", "predicted", "n_matches"))
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
     schema = schema_with(docs.select(*keep), "score double, predicted int, n_matches long")
 
@@ -247,4 +244,4 @@ def score(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
             more = [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(hits, pa.int64())]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *more], [*keep, "score", "predicted", "n_matches"])
 
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
