@@ -6,16 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Number of quantiles that cut the values into ranges, and of pieces the rows
-# sharing one heavy value are spread over.
+# sharing one heavy value are spread over, unless a caller names another. It
+# bounds the tasks that rank at once, so it should follow the cluster's cores.
 RANGES = 256
 _CHUNK = 16
 
 
-def _bounds(df: DataFrame, columns: list[str]) -> dict[str, list]:
-    """Quantiles of each column; at most ``RANGES`` values come to the driver."""
-    steps = [i / RANGES for i in range(1, RANGES)]
+def _bounds(df: DataFrame, columns: list[str], ranges: int) -> dict[str, list]:
+    """Quantiles of each column; fewer than ``ranges`` values of each come to the driver."""
+    steps = [i / ranges for i in range(1, ranges)]
     row = df.agg(
-        *[F.percentile_approx(name, steps, 10 * RANGES).alias(name) for name in columns]
+        *[F.percentile_approx(name, steps, 10 * ranges).alias(name) for name in columns]
     ).first()
     return {name: sorted(set(row[name] or [])) for name in columns}
 
@@ -74,7 +75,7 @@ def _rows_above(df: DataFrame, buckets: dict[str, str], sizes: dict[str, int]) -
     return above
 
 
-def global_ranks(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
+def global_ranks(df: DataFrame, ranks: dict[str, str], ranges: int = RANGES) -> DataFrame:
     """Adds ``rank() over (order by value desc)`` columns, as name -> value column.
 
     The values are cut into ranges at their own quantiles; a row's rank is the
@@ -84,14 +85,14 @@ def global_ranks(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
     partitions instead of meeting in one. ``df`` should be a stored table: it
     is read twice here and once by the result.
     """
-    bounds = _bounds(df, list(dict.fromkeys(ranks.values())))
+    bounds = _bounds(df, list(dict.fromkeys(ranks.values())), ranges)
     buckets = {rank: f"_{rank}_bucket" for rank in ranks}
     ranged = df.select(
         "*", *[_bucket(df, ranks[r], bounds[ranks[r]]).alias(b) for r, b in buckets.items()]
     )
     sizes = {rank: 2 * len(bounds[value]) + 1 for rank, value in ranks.items()}
     above = _rows_above(ranged, buckets, sizes)
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(RANGES))
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(ranges))
     for rank, value in ranks.items():
         bucket = F.col(buckets[rank])
         tied = F.when(bucket % 2 != 0, spread).otherwise(0)

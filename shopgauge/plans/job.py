@@ -236,9 +236,8 @@ def build_marts(wh: Warehouse) -> None:
         marts.daily_metrics(days, wh.table("stg_sessions")), wh.path("mart_daily_metrics")
     )
     tables.rebuild(marts.weekly_metrics(daily, days), wh.path("mart_weekly_metrics"))
-    tables.rebuild(
-        marts.product_metrics(wh.table("stg_purchase_items")), wh.path("mart_product_metrics")
-    )
+    totals = store(marts.product_totals(wh.table("stg_purchase_items")), "product_totals")
+    tables.rebuild(marts.product_metrics(totals), wh.path("mart_product_metrics"))
 
 
 def all_checks(table) -> DataFrame:

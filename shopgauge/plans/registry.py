@@ -61,7 +61,7 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _daily_and_weekly(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Both marts; the customer days they share are computed once."""
     days = store(_customer_days(spark, sf_dir), "customer_days")
-    daily = marts.daily_metrics(days, _sessions(spark, sf_dir))
+    daily = store(marts.daily_metrics(days, _sessions(spark, sf_dir)), "daily")
     return daily, marts.weekly_metrics(daily, days)
 
 
@@ -70,7 +70,9 @@ def _weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.product_metrics(_items(spark, sf_dir))
+    # Totals open the items twice, so the items are stored first.
+    items = store(_items(spark, sf_dir), "items")
+    return marts.product_metrics(store(marts.product_totals(items), "product_totals"))
 
 
 def _day_of_month(column: str) -> Column:
@@ -325,7 +327,7 @@ def _checked_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     sessions = store(_sessions(spark, sf_dir), "sessions")
     purchases = store(_purchases(spark, sf_dir), "purchases")
     items = staging.purchase_items(raw.raw_purchase_items(web_shards(spark, sf_dir, "purchase")))
-    days = marts.with_first_day(marts.customer_days(purchases))
+    days = store(marts.with_first_day(marts.customer_days(purchases)), "customer_days")
     daily = store(marts.daily_metrics(days, sessions), "daily")
     return {
         "stg_sessions": sessions,

@@ -300,7 +300,7 @@ def test_lookback_reaches_the_job(spark, tmp_path):
     job.run(spark, shards(spark, three_days()[:1] + three_days()[2:]), root)
     more = three_days() + [visit("20240101", "z", 3)]
     assert job.run(spark, shards(spark, more), root, lookback_days=3) == {"days": []}
-    assert job.run(spark, shards(spark, more), root) == {"days": ["20240101"]}
+    assert job.run(spark, shards(spark, more), root) == {"days": ["20240101", "20240102"]}
 
 
 def test_days_to_stage(spark):
