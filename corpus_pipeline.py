@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgauge.llm import bpe, decontaminate, jaccard, lines, quality
-from shopgauge.llm.common import table
+from shopgauge.llm.common import shipped, table
 from shopgauge.session import scratch_path
 
 
@@ -45,11 +45,11 @@ def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 STAGES = [
-    ("quality_rules", quality_rules),
-    ("line_dedup", line_dedup),
-    ("near_duplicates", near_duplicates),
-    ("decontamination", decontamination),
-    ("encode_and_decode", encode_and_decode),
+    ("quality_rules", shipped(quality_rules)),
+    ("line_dedup", shipped(line_dedup)),
+    ("near_duplicates", shipped(near_duplicates)),
+    ("decontamination", shipped(decontamination)),
+    ("encode_and_decode", shipped(encode_and_decode)),
 ]
 
 #: A trained sequence model, content-defined chunks, components and byte-pair encoding can't be said in SQL.

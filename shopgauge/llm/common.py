@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
+from functools import wraps
 from math import ceil
 
 import pyarrow as pa
@@ -19,6 +23,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``query`` (whose first argument is the session), with this package sent to the Python workers first.
+
+    Their import path needn't have the repository. Spark hands the archive out,
+    once for each context.
+    """
+
+    @wraps(query)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        context = spark.sparkContext
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        if os.path.isdir(root) and not getattr(context, "_shopgauge_shipped", False):
+            context.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="shopgauge-"), "shopgauge"), "zip", root, "shopgauge"))
+            context._shopgauge_shipped = True
+        return query(spark, *rest)
+
+    return run
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))

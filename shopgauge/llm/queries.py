@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgauge.llm import bpe, decontaminate, jaccard, langid, lines, pii, quality, shards, toxicity, warc
-from shopgauge.llm.common import remainder, table
+from shopgauge.llm.common import remainder, shipped, table
 from shopgauge.session import scratch_path
 
 
@@ -91,7 +91,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_toxicity": op1_toxicity,
         "op2_decontamination": op2_decontamination,
         "op3_line_dedup": op3_line_dedup,
@@ -103,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc": op9_warc,
         "op10_language": op10_language,
     }
+    return {name: shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
