@@ -1,17 +1,21 @@
 """Five operators one after the other over ``documents``.
 
 Each stage takes what the one before has kept, is written as Parquet and read
-again. All but the last return the columns of ``documents``.
+again. All but the last return the columns of ``documents``. A stage may only be
+called when the rows of those before it are written, since it deletes the tables
+that they have stored for themselves.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgauge.llm import bpe, decontaminate, jaccard, lines, quality
-from shopgauge.llm.common import shipped, table
+from shopgauge.llm.common import release, shipped, table
 from shopgauge.session import scratch_path
 
 
@@ -44,13 +48,18 @@ def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [
-    ("quality_rules", shipped(quality_rules)),
-    ("line_dedup", shipped(line_dedup)),
-    ("near_duplicates", shipped(near_duplicates)),
-    ("decontamination", shipped(decontamination)),
-    ("encode_and_decode", shipped(encode_and_decode)),
-]
+def stage(work):
+    """``work`` as a stage: what the stages before have stored for themselves goes, since their rows are written."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark)
+        return shipped(work)(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(work.__name__, stage(work)) for work in (quality_rules, line_dedup, near_duplicates, decontamination, encode_and_decode)]
 
 #: A trained sequence model, content-defined chunks, components and byte-pair encoding can't be said in SQL.
 ORACLE_SQL = None

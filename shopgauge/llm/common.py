@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopgauge.session import scratch_path
+
 #: A word is a run of anything but these ASCII blanks (the same ones bytes.split() cuts at).
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,6 +44,30 @@ def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
+#: Tables written by ``store`` and not yet released.
+KEPT: list[str] = []
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared folder and read it back; see ``release``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    KEPT.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables stored so far, or those stored after the first ``since``.
+
+    For callers that have written every result that still read them.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(KEPT) > since:
+        path = jvm.org.apache.hadoop.fs.Path(KEPT.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgauge.session import store
+from shopgauge.llm.common import store
+
 
 
 def components(links: DataFrame) -> DataFrame:

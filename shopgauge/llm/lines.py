@@ -15,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgauge.llm.common import WORD
-from shopgauge.session import store
+from shopgauge.llm.common import WORD, store
 
 #: A line of so many words is a passage, and a chunk by itself.
 PASSAGE = 50

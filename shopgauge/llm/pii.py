@@ -15,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgauge.llm.common import text_of
-from shopgauge.session import store
+from shopgauge.llm.common import store, text_of
 
 # The patterns of the base kinds, in the order in which they are listed.
 KINDS = ("email", "ip", "card", "phone", "id")

@@ -15,8 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopgauge.llm.common import text_of
-from shopgauge.session import store
+from shopgauge.llm.common import store, text_of
 
 #: Hexadecimal digits of a key, and how many of them a round adds: 4096 probes in each open interval.
 KEY, STEP = 32, 3
