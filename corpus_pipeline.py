@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgauge.llm import bpe, decontaminate, jaccard, lines, quality
-from shopgauge.llm.common import release, shipped, table
+from shopgauge.llm.common import KEPT, release, shipped, table
 from shopgauge.session import scratch_path
 
 
@@ -48,13 +48,21 @@ def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+#: What the stages called so far have stored for themselves.
+STORED: list[str] = []
+
+
 def stage(work):
     """``work`` as a stage: what the stages before have stored for themselves goes, since their rows are written."""
 
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release(spark)
-        return shipped(work)(spark, docs, sf_dir)
+        release(spark, STORED)
+        before = len(KEPT)
+        rows = shipped(work)(spark, docs, sf_dir)
+        STORED.extend(KEPT[before:])
+        del KEPT[before:]
+        return rows
 
     return run_stage
 

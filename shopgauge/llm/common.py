@@ -44,7 +44,7 @@ def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
-#: Tables written by ``store`` and not yet released.
+#: Paths of the tables that ``store`` has written.
 KEPT: list[str] = []
 
 
@@ -57,14 +57,11 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, since: int = 0) -> None:
-    """Delete the tables stored so far, or those stored after the first ``since``.
-
-    For callers that have written every result that still read them.
-    """
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables, for callers that have written every result that still reads them."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while len(KEPT) > since:
-        path = jvm.org.apache.hadoop.fs.Path(KEPT.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(conf).delete(path, True)
 
 
