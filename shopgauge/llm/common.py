@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -65,6 +66,12 @@ def release(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to, between rounds of a long operator."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -18,9 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgauge.llm.common import slices
+from shopgauge.llm.common import KEPT, collect_garbage, release, slices, store
 from shopgauge.llm.components import components
-from shopgauge.session import store
 
 #: Words in a shingle, and the similarity from which documents are linked, in hundredths.
 WORDS, SIMILAR = 5, 80
@@ -29,7 +28,7 @@ GROWTH = 1.35
 #: Parts of a partition; a signature leaves one out.
 PARTS = 3
 #: Times the number of shuffle partitions into which signatures are dealt.
-DEALT = 8
+DEALT = 2
 #: Entries of one signature in a batch from which they skip the shuffle.
 HOT = 16
 
@@ -226,32 +225,29 @@ def survey(docs: DataFrame, groups: int) -> DataFrame:
     return packed.groupBy("part").applyInArrow(meet, MADE)
 
 
-def sketch(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Parities of a set: whether an even or odd number of shingles falls on each of 4 to 8 times as many bits.
+def sketch(found: np.ndarray) -> np.ndarray:
+    """Parities of a set: whether an even or odd number of shingles falls on each of 2 to 4 times as many bits.
 
     A shingle that only one of two sets has flips one bit, so the bits that
-    differ are never more than the shingles that differ. The second array is
-    the first one folded in half, for comparison with a set half as wide.
+    differ are never more than the shingles that differ.
     """
-    bits = max(128, 1 << (4 * len(found) - 1).bit_length())
+    bits = max(64, 1 << (2 * len(found) - 1).bit_length())
     odd = np.bincount((found & U(bits - 1)).astype(np.int64), minlength=bits) & 1
-    wide = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
-    return wide, wide[: len(wide) // 2] ^ wide[len(wide) // 2 :]
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-SET = "node long, shingles array<long>, wide array<long>, folded array<long>"
+SET = "node long, shingles array<long>, bits array<long>"
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    """``node, shingles`` (sorted hashes), ``wide, folded`` (parities)."""
+    """``node, shingles`` (sorted hashes), ``bits`` (parities)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = pa.list_(pa.int64())
         for part in slices(batches, 1024, 4_000_000):
             sets = [shingles(t) for t in part.column("text").to_pylist()]
-            both = [sketch(x) for x in sets]
-            columns = [part.column("doc_id"), pa.array([x.view(np.int64) for x in sets], longs), *(pa.array([x[k] for x in both], longs) for k in (0, 1))]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "wide", "folded"])
+            columns = [part.column("doc_id"), pa.array([x.view(np.int64) for x in sets], longs), pa.array([sketch(x) for x in sets], longs)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "bits"])
 
     return docs.mapInArrow(run, SET)
 
@@ -260,23 +256,26 @@ def may_link(x: str, y: str) -> Column:
     """False for pairs whose sizes or parities show that too many shingles differ; never for linked ones."""
     differ = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, n: t + n)
     col = lambda of, name: F.col(f"{of}.{name}")
-    wider = F.size(col(x, "wide")) - F.size(col(y, "wide"))
-    apart = (
-        F.when(wider == 0, differ(col(x, "wide"), col(y, "wide")))
-        .when(wider > 0, differ(col(x, "folded"), col(y, "wide")))
-        .otherwise(differ(col(x, "wide"), col(y, "folded")))
-    )
+    a, b = col(x, "bits"), col(y, "bits")
+
+    def folded(c: Column) -> Column:
+        """Half as many bits, for comparison with a set half as wide."""
+        half = F.size(c) / 2
+        return F.zip_with(F.slice(c, 1, half.cast("int")), F.slice(c, half.cast("int") + 1, half.cast("int")), lambda u, v: u.bitwiseXOR(v))
+
+    wider = F.size(a) - F.size(b)
+    apart = F.when(wider == 0, differ(a, b)).when(wider > 0, differ(folded(a), b)).otherwise(differ(a, folded(b)))
     n, m = col(x, "n"), col(y, "n")
     return (F.greatest(n, m) * SIMILAR <= F.least(n, m) * 100) & ((100 + SIMILAR) * apart <= (100 - SIMILAR) * (n + m))
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``) that are similar enough, by exact counts."""
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    all_ = F.size("x") + F.size("y") - both
-    return pairs.join(one, "a").join(other, "b").where(100 * both >= SIMILAR * all_).select("a", "b")
+    each = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node")).join(sets.select("node", "shingles"), "node")
+    two = each.groupBy("a", "b").agg(F.collect_list("shingles").alias("s"))
+    x, y = F.col("s")[0], F.col("s")[1]
+    both = F.size(F.array_intersect(x, y))
+    return two.where(100 * both >= SIMILAR * (F.size(x) + F.size(y) - both)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, rounds: int = 2) -> DataFrame:
@@ -338,8 +337,10 @@ def candidates(docs: DataFrame, members: DataFrame, rounds: int) -> DataFrame:
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     open_ = store(members.join(shared, "bucket", "left_semi"), "jaccard-open")
     wanted = open_.select(F.col("node").alias("doc_id")).distinct()
-    sets = store(sets_of(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["node"]), "jaccard-sets")
-    narrow = sets.select("node", F.size("shingles").alias("n"), "wide", "folded")
+    # one text for each id; the join has brought them together already
+    texts = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = store(sets_of(texts), "jaccard-sets")
+    narrow = sets.select("node", F.size("shingles").alias("n"), "bits")
     open_ = open_.withColumn("component", F.col("node"))
     links = None
     for turn in range(rounds + 1):
@@ -351,7 +352,7 @@ def candidates(docs: DataFrame, members: DataFrame, rounds: int) -> DataFrame:
             x, y = narrow.withColumnRenamed("node", "a").alias("x"), narrow.withColumnRenamed("node", "b").alias("y")
             pairs = pairs.join(x, "a").join(y, "b").where(may_link("x", "y")).select("a", "b")
         else:
-            rows = store(open_.join(narrow, "node").select("bucket", "node", "component", narrow["n"], "wide", "folded"), "jaccard-rows")
+            rows = store(open_.join(narrow, "node").select("bucket", "node", "component", narrow["n"], "bits"), "jaccard-rows")
             x, y = rows.alias("x"), rows.alias("y")
             across = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
             same = F.col("x.bucket") == F.col("y.bucket")
@@ -359,8 +360,14 @@ def candidates(docs: DataFrame, members: DataFrame, rounds: int) -> DataFrame:
         found = store(linked(store(pairs, "jaccard-pairs"), sets), "jaccard-links")
         links = found if links is None else links.unionByName(found)
         if turn < rounds:
+            done = len(KEPT)
             joined = components(links)
             open_ = open_.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
             several = open_.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
             open_ = store(open_.join(several, "bucket", "left_semi").select("bucket", "node", "component"), "jaccard-open")
+            # the components aren't read again; with the plans go their shuffle files
+            finished = KEPT[done:-1]
+            del KEPT[done:-1], joined, several
+            release(docs.sparkSession, finished)
+            collect_garbage(docs.sparkSession)
     return links

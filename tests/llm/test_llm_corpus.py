@@ -246,8 +246,8 @@ def test_linked_sets_share_a_signature():
         sets = [jaccard.np.array(sorted(z), jaccard.U) for z in (x, y)]
         found, owner = jaccard.signatures(sets)
         assert set(found[owner == 0].tolist()) & set(found[owner == 1].tolist())
-        (a, a2), (b, b2) = (jaccard.sketch(z) for z in sets)
-        u, v = (a, b) if len(a) == len(b) else (a2, b) if len(a) > len(b) else (a, b2)
+        u, v = sorted((jaccard.sketch(z) for z in sets), key=len)
+        v = v if len(u) == len(v) else v[: len(u)] ^ v[len(u) :]
         assert sum(int(w).bit_count() for w in (u ^ v).view("u8").tolist()) <= len(x ^ y)
 
 
