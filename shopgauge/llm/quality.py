@@ -27,7 +27,7 @@ LEAST_WORDS = 50
 SHARE = 0.5
 #: Labelled documents of each kind for training, chosen by the hash of their id,
 #: and how many stretches of how many lines are taken from each, evenly spread.
-TEXTS, STRETCHES, LINES = 3_000, 8, 64
+TEXTS, STRETCHES, LINES = 1_500, 4, 32
 
 FEATURES = [
     *(f"words {x}" for x in ("1-3", "4-9", "10-29", "30-")),
@@ -152,7 +152,7 @@ class Field:
         return sum(n for (n, _), y in zip(lines, self.decode(lines), strict=True) if y) / whole if whole else 0.0
 
 
-def train(stretches: list[list[tuple[int, ...]]], labels: list[int], rounds: int = 300, rate: float = 0.1) -> Field:
+def train(stretches: list[list[tuple[int, ...]]], labels: list[int], rounds: int = 100, rate: float = 0.2) -> Field:
     """Maximum likelihood by gradient steps (Adam), all stretches at once, forward and backward in log space."""
     n, longest = len(stretches), max(map(len, stretches))
     x = np.zeros((n, longest, len(FEATURES)), np.float32)
