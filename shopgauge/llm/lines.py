@@ -1,11 +1,16 @@
 """Removal of stretches of lines that occur again anywhere in the corpus.
 
-A document's lines are cut into chunks at places that the lines themselves
-choose: a rolling hash over the hashes of two neighbouring lines, and a cut
-behind every line where it is smaller than before and behind. So the same
-stretch is cut alike wherever it stands. A line as long as a passage is a chunk
-of its own. Chunks whose hash occurs more than once are compared byte by byte;
-the first occurrence stays and the others go.
+A stretch of two lines and more is repeated where each pair of neighbouring
+lines in it is, so every pair is counted over the whole corpus, by its hash, and
+a line goes with each pair that has occurred before. So the same stretch is
+found wherever it stands, from its first line to its last, whatever is around
+it. A line as long as a passage counts alone as well. What has one hash is
+compared byte by byte; the first occurrence stays and the others go.
+
+Two blank lines are no pair. Where blank lines stand together, whole chunks
+count besides, cut at places that the lines themselves choose: a rolling hash
+over the hashes of two neighbouring lines, and a cut behind every line where it
+is smaller than before and behind.
 
 Only DataFrame functions are used.
 """
@@ -17,7 +22,7 @@ from pyspark.sql import functions as F
 
 from shopgauge.llm.common import WORD, store
 
-#: A line of so many words is a passage, and a chunk by itself.
+#: A line of so many words is a passage, and counts by itself.
 PASSAGE = 50
 
 
@@ -40,22 +45,40 @@ def chunk_text(lines: Column, chunk: Column) -> Column:
 
 
 def cut(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
-    """``_id, _row, first, last, hash`` of every chunk that may go: of two lines and more, or a passage.
+    """``_id, _row, first, last, hash`` of all that may go: pairs of neighbouring lines, passages, and chunks with blank lines together.
 
-    ``_row`` is the hash of the text. Chunks without a word are left out.
+    ``_row`` is the hash of the text. What is without a word is left out.
     """
     blank = r"^[\x20\x09-\x0D]*$"
     lines = docs.select(
         F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_row"), F.split("text", "\n").alias("lines")
     ).where("lines is not null")
     long = lambda x: F.when(F.length(x) >= 2 * passage - 1, F.regexp_count(x, F.lit(WORD)) >= passage).otherwise(F.lit(False))
-    marked = lines.select("*", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", long).alias("passage"))
-    found = marked.select(
-        "_id", "_row", "lines", "passage", F.explode(chunks_of(F.col("lines"), F.col("hashes"), F.col("passage"))).alias("chunk")
-    ).where((F.col("chunk.last") > F.col("chunk.first")) | F.get("passage", F.col("chunk.first")))
-    text = chunk_text(F.col("lines"), F.col("chunk"))
-    named = found.select("_id", "_row", "chunk.first", "chunk.last", text.alias("own"))
-    return named.where(~F.col("own").rlike(blank)).select("_id", "_row", "first", "last", F.xxhash64("own").alias("hash"))
+    marked = lines.select(
+        "_id",
+        "_row",
+        F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
+        F.transform("lines", long).alias("passage"),
+        F.transform("lines", lambda x: x.rlike(blank)).alias("blank"),
+    )
+    none = F.array().cast("array<struct<first:int,last:int,hash:bigint>>")
+    unit = lambda first, last, hash_: F.struct(first.alias("first"), last.alias("last"), hash_.alias("hash"))
+    at = lambda name, i: F.get(F.col(name), i)
+    n = F.size("hashes")
+    starts = F.sequence(F.lit(0), n - 2)
+    together = lambda i: at("blank", i) & at("blank", i + 1)
+    pairs = F.transform(F.filter(starts, lambda i: ~together(i)), lambda i: unit(i, i + 1, F.xxhash64(at("hashes", i), at("hashes", i + 1))))
+    singles = F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda i: at("passage", i)), lambda i: unit(i, i, at("hashes", i)))
+    part = lambda name, c: F.slice(name, c["first"] + 1, c["last"] - c["first"] + 1)
+    # of chunks without blank lines together, the pairs say as much
+    gaps = F.filter(
+        chunks_of(F.col("hashes"), F.col("hashes"), F.col("passage")),
+        lambda c: F.exists(F.sequence(c["first"], c["last"]), lambda i: (i < c["last"]) & together(i)) & F.exists(part("blank", c), lambda x: ~x),
+    )
+    chunks = F.transform(gaps, lambda c: unit(c["first"], c["last"], F.xxhash64(part("hashes", c))))
+    some = F.when(n > 1, F.exists(starts, together)).otherwise(F.lit(False))
+    found = F.concat(F.when(n > 1, pairs).otherwise(none), singles, F.when(some, chunks).otherwise(none))
+    return marked.select("_id", "_row", F.explode(found).alias("unit")).select("_id", "_row", "unit.first", "unit.last", "unit.hash")
 
 
 def repeated(chunks: DataFrame) -> DataFrame:
@@ -70,10 +93,11 @@ def repeated(chunks: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
-    """``docs`` with repeated chunks taken out of ``text``, and ``n_lines`` and ``n_removed`` (lines) besides.
+    """``docs`` with repeated lines taken out of ``text``, and ``n_lines`` and ``n_removed`` (lines) besides.
 
-    Every row stays, also where nothing is left of its text. A chunk's first
-    occurrence stays. Null texts stay null and have no lines. Rows that repeat
+    A line goes if a pair, passage or chunk that it is in has occurred before.
+    Of each line that goes an equal one stays at an earlier place, since the
+    earliest never goes. Every row stays, also where nothing is left of its text. Null texts stay null and have no lines. Rows that repeat
     both id and text count as one document: they aren't copies of each other,
     and come out alike. Chunks of different bytes under one hash are compared
     by their texts instead, so only equal bytes are ever removed. Other columns
@@ -107,7 +131,7 @@ def dedup(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
                 F.concat(F.filter("_go", lambda s: ~F.array_contains("_unsure", s["hash"])), F.col("_gone"))
             ),
         )
-    gone = F.flatten(F.transform("_go", lambda s: F.sequence(s["first"], s["last"])))
+    gone = F.array_distinct(F.flatten(F.transform("_go", lambda s: F.sequence(s["first"], s["last"]))))
     split = ready.withColumn("_lines", F.split("text", "\n")).withColumn("_gone_at", F.coalesce(gone, F.array().cast("array<int>")))
     at = split.withColumn("_at", F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone_at")))
     text = F.when(F.size("_gone_at") == 0, F.col("text")).otherwise(F.array_join(F.transform("_at", lambda i: F.get("_lines", i)), "\n"))

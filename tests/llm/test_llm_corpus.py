@@ -82,6 +82,21 @@ def test_line_dedup_compares_bytes(spark, monkeypatch):
     assert out == {1: a, 2: b, 3: "", 4: ""}
 
 
+@pytest.mark.parametrize("n", [2, 3, 4, 5])
+def test_line_dedup_removes_short_stretches(spark, n):
+    # a passage of 60 words wrapped over n lines, none of them a passage, with other neighbours each time
+    words = passage("w").split()
+    wrapped = [" ".join(words[k * 60 // n : (k + 1) * 60 // n]) for k in range(n)]
+    gap = ["head", "", "", "", "", "tail"]
+    made = [[f"before {k}", *wrapped, f"behind {k}", f"own {k}"] for k in range(20)]
+    made += [[*wrapped, "at the beginning"], ["at the end", *wrapped], wrapped, [*stretch("gap", 9), *gap], [*stretch("pag", 8), *gap]]
+    out = {r.doc_id: r for r in lines.dedup(spark.createDataFrame([(k, "\n".join(x)) for k, x in enumerate(made)], SCHEMA)).collect()}
+    assert out[0].text == "\n".join(made[0]) and out[0].n_removed == 0
+    assert all(out[k].text == f"before {k}\nbehind {k}\nown {k}" and out[k].n_removed == n for k in range(1, 20))
+    assert (out[20].text, out[21].text, out[22].text) == ("at the beginning", "at the end", "")
+    assert out[23].n_removed == 0 and "head" not in out[24].text and "tail" not in out[24].text
+
+
 def test_chunks_tile_the_lines(spark):
     rng = random.Random(2)
     rows = [(k, "\n".join(str(rng.randint(0, 5)) for _ in range(rng.randint(1, 40)))) for k in range(100)]
