@@ -26,8 +26,10 @@ LEAST_WORDS = 50
 #: Content share from which a document stays.
 SHARE = 0.5
 #: Labelled documents of each kind for training, chosen by the hash of their id,
-#: and how many stretches of how many lines are taken from each, evenly spread.
-TEXTS, STRETCHES, LINES = 1_500, 4, 32
+#: and lines in a stretch. Each text is cut into stretches from its beginning to its end.
+TEXTS, LINES = 3_000, 64
+#: Stretches that are worked on at once in training.
+TOGETHER = 8_192
 
 FEATURES = [
     *(f"words {x}" for x in ("1-3", "4-9", "10-29", "30-")),
@@ -152,36 +154,58 @@ class Field:
         return sum(n for (n, _), y in zip(lines, self.decode(lines), strict=True) if y) / whole if whole else 0.0
 
 
-def train(stretches: list[list[tuple[int, ...]]], labels: list[int], rounds: int = 100, rate: float = 0.2) -> Field:
-    """Maximum likelihood by gradient steps (Adam), all stretches at once, forward and backward in log space."""
-    n, longest = len(stretches), max(map(len, stretches))
-    x = np.zeros((n, longest, len(FEATURES)), np.float32)
-    there = np.zeros((n, longest), bool)
-    for i, lines in enumerate(stretches):
-        there[i, : len(lines)] = True
-        for j, features in enumerate(lines):
-            x[i, j, list(features)] = 1
-    y = np.array(labels)[:, None]
+def train(stretches: list[list[int]], labels: list[int], rounds: int = 300, rate: float = 0.1) -> Field:
+    """Maximum likelihood by gradient steps (Adam), over all stretches, forward and backward in log space.
+
+    A line is given by its features as bits. Lines with the same features have
+    the same score, so scores are worked out once for each set of features.
+    """
+    order = sorted(range(len(stretches)), key=lambda i: len(stretches[i]))
+    kinds, place = np.unique(np.concatenate([np.asarray(stretches[i], np.int32) for i in order]), return_inverse=True)
+    has = ((kinds[:, None] >> np.arange(len(FEATURES))) & 1).astype(np.float64)
+    blocks, at = [], 0
+    for k in range(0, len(order), TOGETHER):
+        own = order[k : k + TOGETHER]
+        sizes = np.array([len(stretches[i]) for i in own])
+        there = np.arange(sizes.max()) < sizes[:, None]
+        lines = np.zeros(there.shape, np.int32)
+        lines[there] = place[at : at + sizes.sum()]
+        at += sizes.sum()
+        blocks.append((lines, there, np.array([labels[i] for i in own])[:, None]))
+    # what the labels hold doesn't change from round to round
+    held, both = np.zeros(len(kinds)), np.zeros((2, 2))
+    for lines, there, y in blocks:
+        held += np.bincount(lines[there], weights=np.broadcast_to(y, there.shape)[there], minlength=len(kinds))
+        both[0, 0] += (there[:, 1:] & (y == 0)).sum()
+        both[1, 1] += (there[:, 1:] & (y == 1)).sum()
     weights, steps = np.zeros(len(FEATURES)), np.zeros((2, 2))
-    pairs = there[:, 1:]
     first, second = np.zeros(len(FEATURES) + 4), np.zeros(len(FEATURES) + 4)
     for k in range(1, rounds + 1):
-        emit = np.stack([np.zeros((n, longest)), x @ weights], axis=-1)
-        fore, aft = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        fore[:, 0] = emit[:, 0]
-        for t in range(1, longest):
-            step = np.logaddexp.reduce(fore[:, t - 1, :, None] + steps, axis=1) + emit[:, t]
-            fore[:, t] = np.where(there[:, t, None], step, fore[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            step = np.logaddexp.reduce(steps + (emit[:, t + 1] + aft[:, t + 1])[:, None, :], axis=2)
-            aft[:, t] = np.where(there[:, t + 1, None], step, 0)
-        norm = np.logaddexp.reduce(fore[:, -1], axis=1)
-        node = np.exp(fore + aft - norm[:, None, None])
-        edge = np.exp(fore[:, :-1, :, None] + steps + (emit + aft)[:, 1:, None, :] - norm[:, None, None, None]) * pairs[:, :, None, None]
-        by_feature = np.einsum("ntf,nt->f", x, ((y - node[:, :, 1]) * there).astype(np.float32))
-        both = np.zeros((2, 2))
-        both[0, 0], both[1, 1] = (pairs * (y == 0)).sum(), (pairs * (y == 1)).sum()
-        slope = np.concatenate([by_feature, (both - edge.sum(axis=(0, 1))).ravel()]) / there.sum()
+        score = has @ weights
+        content, edges = np.zeros(len(kinds)), np.zeros((2, 2))
+        for lines, there, _ in blocks:
+            n, longest = there.shape
+            emit = np.zeros((longest, n, 2))
+            emit[:, :, 1] = score[lines.T]
+            fore, aft = np.zeros((longest, n, 2)), np.zeros((longest, n, 2))
+            fore[0] = emit[0]
+            for t in range(1, longest):
+                a, b = fore[t - 1, :, 0], fore[t - 1, :, 1]
+                step = np.stack([np.logaddexp(a + steps[0, j], b + steps[1, j]) for j in (0, 1)], axis=1) + emit[t]
+                fore[t] = np.where(there[:, t, None], step, fore[t - 1])
+            for t in range(longest - 2, -1, -1):
+                a, b = (emit[t + 1] + aft[t + 1]).T
+                step = np.stack([np.logaddexp(a + steps[i, 0], b + steps[i, 1]) for i in (0, 1)], axis=1)
+                aft[t] = np.where(there[:, t + 1, None], step, 0)
+            norm = np.logaddexp(fore[-1, :, 0], fore[-1, :, 1])
+            node = np.exp(fore[:, :, 1] + aft[:, :, 1] - norm).T
+            content += np.bincount(lines[there], weights=node[there], minlength=len(kinds))
+            pairs = there.T[1:]
+            for i in (0, 1):
+                for j in (0, 1):
+                    edge = fore[:-1, :, i] + steps[i, j] + emit[1:, :, j] + aft[1:, :, j] - norm
+                    edges[i, j] += np.exp(edge[pairs]).sum()
+        slope = np.concatenate([(held - content) @ has, (both - edges).ravel()]) / len(place)
         slope -= 1e-4 * np.concatenate([weights, steps.ravel()])
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         move = rate * (first / (1 - 0.9**k)) / (np.sqrt(second / (1 - 0.999**k)) + 1e-8)
@@ -193,9 +217,9 @@ def train(stretches: list[list[tuple[int, ...]]], labels: list[int], rounds: int
 def fit(docs: DataFrame, labels: DataFrame, texts: int = TEXTS) -> Field:
     """Train on ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, quality``, 0 or 1; others teach nothing).
 
-    About ``texts`` documents of each kind are read; from each come at most
-    ``STRETCHES`` stretches of ``LINES`` lines. Without labels of both kinds the
-    field calls everything content.
+    About ``texts`` documents of each kind are read, whole, in stretches of
+    ``LINES`` lines. Without labels of both kinds the field calls everything
+    content.
     """
     usable, sizes, _ = labelled_sample(docs, labels, "quality", texts)
     if len(sizes) < 2:
@@ -205,14 +229,13 @@ def fit(docs: DataFrame, labels: DataFrame, texts: int = TEXTS) -> Field:
         for part in slices(batches, 256, 4_000_000):
             out, kinds = [], []
             for text, kind in zip(part.column("text").to_pylist(), part.column("label").to_pylist(), strict=True):
-                lines = [f for _, f in measure(text).lines]
-                starts = range(0, len(lines), LINES)
-                for at in [*starts][:: max(1, len(starts) // STRETCHES)][:STRETCHES]:
-                    out.append([list(f) for f in lines[at : at + LINES]])
+                lines = [sum(1 << k for k in f) for _, f in measure(text).lines]
+                for at in range(0, len(lines), LINES):
+                    out.append(lines[at : at + LINES])
                     kinds.append(kind)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.list_(pa.int32()))), pa.array(kinds, pa.int32())], ["lines", "quality"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32())), pa.array(kinds, pa.int32())], ["lines", "quality"])
 
-    rows = usable.mapInArrow(run, "lines array<array<int>>, quality int").toArrow()
+    rows = usable.mapInArrow(run, "lines array<int>, quality int").toArrow()
     # a fixed order, so that sums of floats come out alike on every run
     if not rows.num_rows:
         return Field([0.0] * len(FEATURES), [[0.0, 0.0], [0.0, 0.0]])

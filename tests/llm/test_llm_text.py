@@ -121,6 +121,36 @@ def test_quality_follows_labels(spark):
     assert right / sum(counts.values()) > 0.97
 
 
+def test_quality_learns_from_whole_texts(spark):
+    # the kinds differ behind line 300 only, for 5 to 7 stretches of 64 lines and for 11 of 32
+    same = [f"Line {k} of the text that all have in common." for k in range(300)]
+    tails = {0: [f"BUY {k} !!!! $$$$" for k in range(30)], 1: [f"The end has more to say about {k} than that." for k in range(30)]}
+    rows = [(k, "\n".join([*same, *tails[k % 2]])) for k in range(40)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
+    field = quality.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    weight = dict(zip(quality.FEATURES, field.weights, strict=True))
+    assert weight["shouts more"] < -0.1 and weight["symbols -1"] < -0.1
+
+
+def test_quality_gradient_leads_to_the_maximum():
+    # by enumeration: at the weights found, no feature or step is expected more or less often than the labels have it
+    rng = random.Random(5)
+    stretches = [[1 << rng.randrange(3) | 1 << 3 + rng.randrange(2) for _ in range(rng.randint(1, 4))] for _ in range(40)]
+    labels = [rng.randint(0, 1) for _ in stretches]
+    field = quality.train(stretches, labels, rounds=1500)
+    n, gap = sum(map(len, stretches)), Counter()
+    for lines, label in zip(stretches, labels, strict=True):
+        every = [tuple((m >> k) & 1 for k in range(len(lines))) for m in range(1 << len(lines))]
+        held = lambda ys: Counter([f for y, x in zip(ys, lines, strict=True) if y for f in range(5) if x >> f & 1] + [*zip(ys, ys[1:], strict=False)])  # noqa: B023, E731
+        score = lambda ys: sum((field.weights[f] if isinstance(f, int) else field.steps[f[0]][f[1]]) * m for f, m in held(ys).items())  # noqa: B023, E731
+        p = np.exp([score(ys) for ys in every])
+        for ys, share in zip(every, p / p.sum(), strict=True):
+            for f, m in held(ys).items():
+                gap[f] += m * ((ys == (label,) * len(lines)) - share) / n
+    for f, x in gap.items():
+        assert x == pytest.approx(1e-4 * (field.weights[f] if isinstance(f, int) else field.steps[f[0]][f[1]]), abs=1e-3)
+
+
 def test_quality_without_labels_keeps_all(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     own = docs.withColumn("kept", F.lit("clash"))
