@@ -5,6 +5,8 @@ character n-grams of words with their ends marked. A text's score is the sum
 over its words: a known word counts with its own frequencies, an unknown one
 with the mean of its longest known n-grams, less a fixed cost for each length
 passed over (the same for all languages, so it only lowers the certainty).
+Long runs of letters, as in scripts without blanks, are read whole, in
+consecutive pieces that count like unknown words.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ TEXTS = 5_000
 #: Words, and n-grams of each length, that the model keeps per language, the most frequent ones.
 WORDS, GRAMS = 20_000, 5_000
 LONGEST = 5
+#: Places in a word, with its ends marked, at which the n-grams of one piece begin.
+PIECE = 42
 #: Rows of scores that a worker keeps between batches.
 CACHE = 400_000
 
@@ -49,6 +53,17 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
+def pieces(word: str) -> list[str]:
+    """The word with its ends marked, cut where it is long; a piece reaches into the next one, so that no n-gram is lost."""
+    marked = f"<{word}>"
+    return [marked[i : i + PIECE + LONGEST - 1] for i in range(0, len(marked), PIECE)]
+
+
+def grams_in(piece: str, n: int) -> list[str]:
+    """The n-grams that begin in the piece itself."""
+    return [piece[i : i + n] for i in range(min(PIECE, len(piece) - n + 1))]
+
+
 def counts(rows: DataFrame) -> DataFrame:
     """``lang, n, gram, count`` over all rows given: n is 0 for words."""
 
@@ -60,9 +75,9 @@ def counts(rows: DataFrame) -> DataFrame:
             for lang, words in seen.items():
                 grams: Counter = Counter()
                 for word, many in words.items():
-                    if len(word) <= 40:
+                    for piece in pieces(word):
                         for n in range(1, LONGEST + 1):
-                            for g in grams_of(word, n):
+                            for g in grams_in(piece, n):
                                 grams[n, g] += many
                 keys = [(0, w) for w in words] + list(grams)
                 many = list(words.values()) + list(grams.values())
@@ -102,7 +117,7 @@ def fit(docs: DataFrame, texts: int = TEXTS) -> Model:
     tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
     for n, own in rows.groupby("n"):
         many = np.zeros((own["gram"].nunique(), len(languages)))
-        names, at = np.unique(own["gram"].to_numpy(str), return_inverse=True)
+        at, names = own["gram"].factorize(sort=True)
         many[at, own["lang"].map(column).to_numpy()] = own["count"]
         whole = np.ones(len(languages))
         for lang, value in own.groupby("lang")["total"].first().items():
@@ -116,33 +131,47 @@ def score_word(model: Model, word: str) -> np.ndarray:
     """Scores of a word by language, from the word itself or its longest known n-grams."""
     if (known := model.words.get(word)) is not None:
         return known
-    short = word[:40]
+    return np.sum([score_piece(model, piece) for piece in pieces(word)], axis=0)
+
+
+def score_piece(model: Model, piece: str) -> np.ndarray:
     for n in range(LONGEST, 0, -1):
-        found = [x for g in grams_of(short, n) if (x := model.grams[n - 1].get(g)) is not None]
+        found = [x for g in grams_in(piece, n) if (x := model.grams[n - 1].get(g)) is not None]
         if found:
             return np.mean(found, axis=0) - (LONGEST - n)
     return np.zeros(len(model.languages), np.float32)
 
 
+def units(model: Model, word: str) -> list[str | tuple[str]]:
+    """The word, or its pieces (each in a tuple) if it is unknown and long, so that what is kept of it is short."""
+    return [word] if len(word) + 2 <= PIECE or word in model.words else [(piece,) for piece in pieces(word)]
+
+
 class Scorer:
     """Adds up the words of many texts; scores of words are worked out once and kept."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.row: dict[str, int] = {}
+        self.row: dict[str | tuple[str], int] = {}
         self.scores = np.zeros((0, len(model.languages)), np.float32)
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
         if len(self.row) > CACHE:
             self.row, self.scores = {}, self.scores[:0]
         words = [words_in(t) if t else [] for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.row})
+        new = {w for ws in words for w in ws if w not in self.row}
+        cut = {w: own for w in new if len(w) + 2 > PIECE and (own := units(self.model, w)) != [w]}
+        if cut:
+            words = [[u for w in ws for u in cut.get(w, (w,))] for ws in words]
+            new = {w for ws in words for w in ws if w not in self.row}
+        new = list(new)
         if new and self.model.languages:
             self.row.update(zip(new, range(len(self.row), len(self.row) + len(new)), strict=True))
-            self.scores = np.concatenate([self.scores, np.stack([score_word(self.model, w) for w in new])])
+            made = [score_piece(self.model, *w) if isinstance(w, tuple) else score_word(self.model, w) for w in new]
+            self.scores = np.concatenate([self.scores, np.stack(made)])
         out = []
         for ws in words:
-            if not self.model.languages or not any(c.isalpha() for w in ws for c in w):
+            if not self.model.languages or not any(c.isalpha() for w in ws for x in w for c in x):
                 out.append(("und", 0.0))
                 continue
             total = self.scores[list(map(self.row.__getitem__, ws))].sum(axis=0, dtype=np.float64) / np.sqrt(len(ws))

@@ -219,6 +219,19 @@ def test_language_backs_off(spark, docs):
     assert np.allclose(langid.score_word(model, unknown), np.mean(parts, axis=0) - (langid.LONGEST - longest))
 
 
+def test_language_reads_long_runs_whole(spark):
+    # training texts are runs of over 40 letters; the text to judge begins like language a and goes on like b
+    rng = random.Random(3)
+    run = lambda letters, n: "".join(rng.choices(letters, k=n))
+    rows = [(k, run("日本語文" if k % 2 else "中国汉字", 200), "b" if k % 2 else "a") for k in range(40)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    text = run("中国汉字", 60) + run("日本語文", 600)
+    assert [x for x, _ in langid.Scorer(model)([text, text[:50], text[60:]])] == ["b", "a", "b"]
+    assert model.languages[langid.score_word(model, text).argmax()] == "b"
+    for n in range(1, langid.LONGEST + 1):
+        assert [g for p in langid.pieces(text) for g in langid.grams_in(p, n)] == langid.grams_of(text, n)
+
+
 def test_language_edges(spark, odd, docs):
     said = {r.doc_id: r.lang_pred for r in langid.predict(odd.where("doc_id in (0, 1, 2)"), langid.fit(docs), ["doc_id"]).collect()}
     assert said == {0: "und", 1: "und", 2: "und"}
