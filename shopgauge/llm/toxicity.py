@@ -27,8 +27,10 @@ from shopgauge.llm.common import chosen, labelled_sample, schema_with, slices
 # Letters of other scripts that look like Latin ones, and signs that stand for letters.
 LOOK_ALIKE = dict(zip("авсԁеһіјкӏмпорԛѕтиѵѡхузαβεηικνορτυχωϲıɑɡʟո", "abcdehijklmnopqstuvwxy3abenikvoptuxwciagln", strict=True))
 DIGITS = dict(zip("0134578@$!", "oieastbasi", strict=True))
-#: Signs count as letters only in front of a letter, so that "word$$$" keeps its end.
-SPELLED = re.compile(r"[0134578](?=[^\W\d_])|(?<=[^\W\d_])[0134578]|[@$!](?=[^\W\d_])")
+#: Signs count as letters only in front of a letter, so that "word$$$" keeps its end. Whole runs
+#: are taken, from their beginning, as if each one were folded as soon as its neighbour is a letter.
+SPELLED = re.compile(r"(?<![0134578@$!])[0134578@$!]++(?=[^\W\d_])|(?<=[^\W\d_])[0134578]++")
+SPELT = str.maketrans(DIGITS)
 RARE = str.maketrans(LOOK_ALIKE)
 ODD = frozenset(LOOK_ALIKE)
 INVISIBLE = re.compile("[­​-‏⁠-⁤﻿]")
@@ -45,14 +47,15 @@ STEMS = range(4, 9)
 def fold(text: str) -> str:
     """Lower case, with look-alikes and digits inside words made letters. Accents stay."""
     text = text.lower()
-    if not text.isascii() and max(text) > "ɏ":
-        text = INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
+    if not text.isascii():
+        # before and after, since the normal form of some look-alikes is none, and that of other signs is one
+        if not ODD.isdisjoint(text):
+            text = text.translate(RARE)
+        text = INVISIBLE.sub("", unicodedata.normalize("NFKC", text)).lower()
         if not ODD.isdisjoint(text):
             text = text.translate(RARE)
     if any(c in text for c in DIGITS):
-        # twice: a digit next to a digit has a letter beside it only after the first round
-        for _ in range(2):
-            text = SPELLED.sub(lambda m: DIGITS[m[0]], text)
+        text = SPELLED.sub(lambda m: m[0].translate(SPELT), text)
     return text
 
 

@@ -163,6 +163,26 @@ def test_fold():
     assert toxicity.fold("1d10T idі​ot w0rthle55$$$ 2024 ＩＤＩＯＴ é") == "idiot idiot worthless$$$ 2024 idiot é"
 
 
+def test_fold_each_sign_alone():
+    for sign, letter in toxicity.LOOK_ALIKE.items():
+        assert toxicity.fold(f"x{sign}y é") == f"x{toxicity.DIGITS.get(letter, letter)}y é"
+    for sign in map(chr, range(0x80, 0x10000)):
+        if toxicity.INVISIBLE.fullmatch(sign):
+            assert toxicity.fold(f"id{sign}iot") == "idiot"
+    assert toxicity.fold("\u0131d\u0131ot id\u00adiot a\u017f\u017f \U0001d408DIOT") == "idiot idiot ass idiot"
+
+
+def test_fold_long_runs_of_digits():
+    step = toxicity.re.compile(r"[0134578](?=[^\W\d_])|(?<=[^\W\d_])[0134578]|[@$!](?=[^\W\d_])")
+    rng = random.Random(6)
+    for text in ["sh00000t", "$$$$$hit", *("".join(rng.choices("ab 0135@$!2", k=12)) for _ in range(3000))]:
+        slow, last = text, None
+        while slow != last:
+            slow, last = step.sub(lambda m: toxicity.DIGITS[m[0]], slow), slow
+        assert toxicity.fold(text) == slow
+    assert toxicity.fold("1" * 300_000 + " x" + "0" * 300_000) == "1" * 300_000 + " x" + "o" * 300_000
+
+
 def test_matches_and_exceptions():
     lexicon = toxicity.Lexicon({"idiot ": 3.0, "mor": 2.0}, ["not idiot"], (1.0, 0.0, 0.0))
     matcher = toxicity.Matcher(lexicon)
