@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import bpe, decontaminate, jaccard, langid, lines, pii, quality, shards, toxicity, warc
+from shopgauge.llm import bpe, decontaminate, jaccard, langid, lines, pii, quality, search, shards, toxicity, warc
 from shopgauge.llm.common import remainder, shipped, table
 from shopgauge.session import scratch_path
 
@@ -90,6 +90,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, ["doc_id", "held_out"])
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_toxicity": op1_toxicity,
@@ -102,9 +107,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": op8_bpe,
         "op9_warc": op9_warc,
         "op10_language": op10_language,
+        "op11_search": op11_search,
     }
     return {name: shipped(query) for name, query in found.items()}
 
 
+#: What ``op11_search`` computes, said as one statement.
+SEARCH_SQL = r"""
+WITH doc_terms AS (
+    SELECT doc_id, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents)
+), tf AS (
+    SELECT doc_id, term, count(*) AS tf FROM doc_terms GROUP BY ALL
+), lengths AS (
+    SELECT doc_id, count(*) AS n FROM doc_terms GROUP BY ALL
+), sizes AS (
+    SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths
+), factors AS (
+    SELECT doc_id, 25 + (75 * n * docs) // total AS m FROM lengths, sizes
+), weights AS (
+    SELECT term, floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, sizes GROUP BY term
+), item_terms AS (
+    SELECT item_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM benchmark
+), scores AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM item_terms JOIN weights USING (term) JOIN tf USING (term) JOIN factors USING (doc_id) GROUP BY ALL
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_search": SEARCH_SQL}
