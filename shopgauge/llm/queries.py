@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import bpe, decontaminate, jaccard, langid, lines, pii, quality, search, shards, toxicity, warc
+from shopgauge.llm import bpe, decontaminate, jaccard, langid, lines, pii, quality, search, shards, toxicity, warc, whitening
 from shopgauge.llm.common import remainder, shipped, table
 from shopgauge.session import scratch_path
 
@@ -95,6 +95,11 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened components of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 16)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_toxicity": op1_toxicity,
@@ -108,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc": op9_warc,
         "op10_language": op10_language,
         "op11_search": op11_search,
+        "op12_whitening": op12_whitening,
     }
     return {name: shipped(query) for name, query in found.items()}
 
