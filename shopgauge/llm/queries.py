@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgauge.llm import bpe, decontaminate, jaccard, langid, lines, pii, quality, search, shards, toxicity, warc, whitening
+from shopgauge.llm import bpe, chosen_path, decontaminate, jaccard, langid, lines, pii, quality, search, shards, toxicity, warc, whitening
 from shopgauge.llm.common import remainder, shipped, table
 from shopgauge.session import scratch_path
 
@@ -100,6 +100,11 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), 16)
 
 
+def op13_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, component and verdict of every document, linked from a similarity of 0.8 of two-word shingles."""
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_toxicity": op1_toxicity,
@@ -114,6 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_language": op10_language,
         "op11_search": op11_search,
         "op12_whitening": op12_whitening,
+        "op13_near_duplicates": op13_near_duplicates,
     }
     return {name: shipped(query) for name, query in found.items()}
 
