@@ -74,15 +74,27 @@ def purchase_dates(raw: DataFrame, suffixes: list[str]) -> DataFrame:
     return on_days.select("event_date_dt").distinct()
 
 
-def rebuild_sessions(raw: DataFrame, touched: DataFrame) -> DataFrame:
+def session_days(raw: DataFrame) -> DataFrame:
+    """Which sessions have an event in the shard of which day; kept as an index, by day."""
+    return _keyed_starts(raw).select("session_key", SUFFIX).distinct()
+
+
+def event_days(events: DataFrame, items: DataFrame) -> DataFrame:
+    """Which event dates lie in the shard of which day; one without a date has no partition to rebuild."""
+    pairs = [rows.where("event_date_dt IS NOT NULL").select("event_date_dt", SUFFIX).distinct() for rows in (events, items)]
+    return pairs[0].union(pairs[1]).distinct()
+
+
+def rebuild_sessions(raw: DataFrame, touched: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """The touched sessions, from all their events on all days.
 
     The days that hold such events are found first, from one row per day and
-    session, and reach the driver as a list of days. Only those days are then
-    read in full. Sessions are built before the join with the touched keys, so
-    a session of very many events is one row by then.
+    session (``index``, or else counted from ``raw``), and reach the driver as a
+    list of days. Only those days are then read in full. Sessions are built
+    before the join with the touched keys, so a session of very many events is
+    one row by then.
     """
-    seen = _keyed_starts(raw).select(SUFFIX, "session_key").distinct()
+    seen = session_days(raw) if index is None else index
     days = seen.join(touched, "session_key", "left_semi").select(SUFFIX).distinct().collect()
     on_days = raw.where(F.col(SUFFIX).isin([row[0] for row in days]))
     return sessions(on_days).join(touched, "session_key", "left_semi")

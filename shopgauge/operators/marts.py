@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import week_end, week_start
 from ..functions.money import amount, cents, ratio, total, zero_if_null
-from .ranking import RANGES, global_ranks
+from .ranking import RANGES, global_ranks, top_with_ranks
 
 
 def customer_days(purchases: DataFrame) -> DataFrame:
@@ -54,6 +54,11 @@ def _customer_counts(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("date").agg(*_customer_aggregates())
 
 
+def with_known_first_day(days: DataFrame, users: DataFrame) -> DataFrame:
+    """As ``with_first_day``, for some days only: the first purchase date is that of the user table."""
+    return days.join(users.select("user_pseudo_id", "first_purchase_date"), "user_pseudo_id", "left")
+
+
 def daily_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.groupBy(F.col("session_date").alias("date")).agg(
         F.countDistinct("session_key").alias("sessions")
@@ -137,49 +142,85 @@ def weekly_metrics(daily: DataFrame, days: DataFrame, first_day: str = "monday")
     )
 
 
-def product_totals(items: DataFrame) -> DataFrame:
-    """Unrounded totals per product name and id.
+def product_days(items: DataFrame) -> DataFrame:
+    """Unrounded sums per product name, id and day, to be stored by day and added up by ``product_totals_of``."""
+    return _named(items).groupBy("item_name", "item_id", "purchase_date").agg(*_product_sums())
 
-    Orders are distinct transaction ids. Only that count needs a row per
-    product and transaction, so it goes its own way with just those columns,
-    while the sums shrink to about one row per product before their shuffle.
-    """
-    named = items.where(F.col("item_name").isNotNull())
-    sums = named.groupBy("item_name", "item_id", "category_l1", "category_l2").agg(
+
+def product_orders(items: DataFrame) -> DataFrame:
+    """The transactions of each product and day, once each. Only the count of orders needs them."""
+    return _named(items).select("item_name", "item_id", "transaction_id", "purchase_date").distinct()
+
+
+def _named(items: DataFrame) -> DataFrame:
+    return items.where(F.col("item_name").isNotNull())
+
+
+def _product_sums() -> list:
+    return [
+        F.max("category_l1").alias("category"),
+        F.max("category_l2").alias("sub_category"),
         F.sum(amount("item_revenue_usd")).alias("revenue"),
         F.sum(amount("item_refund_usd")).alias("refunds"),
         F.sum("quantity").alias("quantity"),
         F.sum(amount("price_in_usd")).alias("price"),
         F.count("price_in_usd").alias("prices"),
-    )
-    orders = (
-        named.select("item_name", "item_id", "transaction_id")
+    ]
+
+
+_ADDED = ("revenue", "refunds", "quantity", "orders", "price", "prices")
+
+
+def product_totals_of(days: DataFrame, orders: DataFrame) -> DataFrame:
+    """Unrounded totals per product from what was stored by day; a transaction on several days is one order."""
+    counted = (
+        orders.select("item_name", "item_id", "transaction_id")
         .distinct()
         .groupBy("item_name", "item_id")
         .agg(F.count("transaction_id").alias("orders"))
     )
     return (
-        sums.unionByName(orders, allowMissingColumns=True)
+        days.drop("purchase_date")
+        .unionByName(counted, allowMissingColumns=True)
         .groupBy("item_name", "item_id")
         .agg(
-            F.max("category_l1").alias("category"),
-            F.max("category_l2").alias("sub_category"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("refunds").alias("refunds"),
-            F.sum("quantity").alias("quantity"),
-            F.sum("orders").alias("orders"),
-            F.sum("price").alias("price"),
-            F.sum("prices").alias("prices"),
+            F.max("category").alias("category"),
+            F.max("sub_category").alias("sub_category"),
+            *[F.sum(name).alias(name) for name in _ADDED],
         )
     )
 
 
+def product_totals(items: DataFrame) -> DataFrame:
+    """Unrounded totals per product name and id, from one pass over the items.
+
+    Orders are distinct transaction ids. Spark adds up per product and
+    transaction before the shuffle and per product after it, so a product of
+    very many transactions is spread over the tasks.
+    """
+    return _named(items).groupBy("item_name", "item_id").agg(
+        *_product_sums(), F.countDistinct("transaction_id").alias("orders")
+    )
+
+
+#: What products are ranked by.
+PRODUCT_RANKS = {"revenue_rank": "revenue", "quantity_rank": "quantity"}
+
+
 def product_metrics(totals: DataFrame, ranges: int = RANGES) -> DataFrame:
     """Stored product totals with their ranks by revenue and by quantity.
 
     Ranking counts the totals first, by two jobs that start here.
     """
-    ranked = global_ranks(totals, {"revenue_rank": "revenue", "quantity_rank": "quantity"}, ranges)
+    return _product_columns(global_ranks(totals, PRODUCT_RANKS, ranges))
+
+
+def top_product_metrics(totals: DataFrame, by: str, n: int) -> DataFrame:
+    """The rows of ``product_metrics`` that are first by one of its ranks; ties by name, then id."""
+    return _product_columns(top_with_ranks(totals, PRODUCT_RANKS, by, n, ["item_name", "item_id"]))
+
+
+def _product_columns(ranked: DataFrame) -> DataFrame:
     return ranked.select(
         "item_name",
         "item_id",

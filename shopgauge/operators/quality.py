@@ -51,6 +51,41 @@ def not_null(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def table_checks(
+    table: str,
+    df: DataFrame,
+    key: str | None = None,
+    required: tuple | list = (),
+    assertions: dict[str, Column] | None = None,
+) -> DataFrame:
+    """All checks that look at one table only, in one pass over it.
+
+    Rows are counted by key, which merges before the shuffle; the missing
+    values and failing rows are counted along. Gives what ``unique``,
+    ``not_null`` and ``assertion`` give one by one.
+    """
+    wanted = {f"not_null {table}.{c}": F.col(c).isNull() for c in required} | (assertions or {})
+    counted = [F.count_if(failing).alias(f"_{i}") for i, failing in enumerate(wanted.values())]
+    totals = [F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(wanted))]
+    names = list(wanted)
+    if key is None:
+        one = df.agg(*counted)
+    else:
+        repeated = F.col("_key").isNotNull() & (F.col("_n") > 1)
+        by_key = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), *counted)
+        one = by_key.agg(*totals, F.count_if(repeated).alias(f"_{len(names)}"))
+        names.append(f"unique {table}.{key}")
+    rows = F.array(
+        *[
+            F.struct(F.lit(name).alias("check_name"), F.col(f"_{i}").alias("n"))
+            for i, name in enumerate(names)
+        ]
+    )
+    return one.select(F.explode(rows).alias("r")).select(
+        "r.check_name", F.col("r.n").alias("failing_rows")
+    )
+
+
 def relationships(
     name: str, child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 ) -> DataFrame:
@@ -73,18 +108,30 @@ def assertion(name: str, df: DataFrame, failing: Column) -> DataFrame:
     return _summary(name, df.where(failing))
 
 
-def net_revenue_identity(daily: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+def daily_assertions(tolerance: float = TOLERANCE) -> dict[str, Column]:
+    """What fails in a row of the daily mart, by the name of the check."""
     expected = F.col("gross_revenue") - F.col("refund_amount")
-    failing = _differs(F.col("net_revenue"), expected, tolerance)
-    return assertion("net_revenue_identity", daily, failing)
+    return {
+        "net_revenue_identity": _differs(F.col("net_revenue"), expected, tolerance),
+        "new_le_orders": F.col("new_customers") > F.col("total_orders"),
+        "rate_non_negative": F.col("conversion_rate") < 0,
+    }
+
+
+def _daily_assertion(name: str, daily: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    return assertion(name, daily, daily_assertions(tolerance)[name])
+
+
+def net_revenue_identity(daily: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    return _daily_assertion("net_revenue_identity", daily, tolerance)
 
 
 def new_customers_within_orders(daily: DataFrame) -> DataFrame:
-    return assertion("new_le_orders", daily, F.col("new_customers") > F.col("total_orders"))
+    return _daily_assertion("new_le_orders", daily)
 
 
 def rate_non_negative(daily: DataFrame) -> DataFrame:
-    return assertion("rate_non_negative", daily, F.col("conversion_rate") < 0)
+    return _daily_assertion("rate_non_negative", daily)
 
 
 def weekly_reconciles(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 # Number of quantiles that cut the values into ranges, and of pieces the rows
 # sharing one heavy value are spread over, unless a caller names another. It
@@ -100,3 +101,27 @@ def global_ranks(df: DataFrame, ranks: dict[str, str], ranges: int = RANGES) ->
         offset = F.get(_literal(above[rank], "bigint"), bucket + 1)
         ranged = ranged.withColumn(rank, (offset + inside).cast("bigint"))
     return ranged.drop(*buckets.values())
+
+
+def top_with_ranks(df: DataFrame, ranks: dict[str, str], by: str, n: int, ties: list[str]) -> DataFrame:
+    """The first ``n`` rows by the rank ``by``, with all their ranks over the whole of ``df``.
+
+    Equal ranks are settled by the columns ``ties``. Only ``n`` rows reach the
+    driver; their ranks are counted in one more pass, without ranking the
+    other rows. ``df`` should be a stored table: it is read twice.
+    """
+    spark = df.sparkSession
+    best = df.orderBy(F.col(ranks[by]).desc_nulls_last(), *[F.asc(t) for t in ties]).limit(n).collect()
+    kinds = {rank: df.schema[value].dataType for rank, value in ranks.items()}
+
+    def above(rank: str, row) -> Column:
+        value, own = F.col(ranks[rank]), row[ranks[rank]]
+        return F.count_if(value.isNotNull() if own is None else value > F.lit(own).cast(kinds[rank]))
+
+    if not best:
+        counts = []
+    else:
+        counts = df.agg(*[above(rank, row).alias(f"{rank}_{i}") for i, row in enumerate(best) for rank in ranks]).first()
+    rows = [(*row, *[counts[f"{rank}_{i}"] + 1 for rank in ranks]) for i, row in enumerate(best)]
+    kind = StructType([*df.schema.fields, *[StructField(rank, LongType()) for rank in ranks]])
+    return spark.createDataFrame(rows, kind)

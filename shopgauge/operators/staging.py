@@ -284,7 +284,7 @@ def purchase_items(raw_items: DataFrame) -> DataFrame:
 # --- users ------------------------------------------------------------------
 
 
-def _user_visits(raw: DataFrame) -> DataFrame:
+def _user_visits(raw: DataFrame, *more: str) -> DataFrame:
     return (
         raw.where(F.col("event_name") == "session_start")
         .where(has_any_param(tuple(USER_PARAMS)))
@@ -296,6 +296,7 @@ def _user_visits(raw: DataFrame) -> DataFrame:
             "user_first_touch_timestamp",
             param("ga_session_id", USER_PARAMS["ga_session_id"]).alias("ga_session_id"),
             _leaves(FIRST_TOUCH).alias("attributes"),
+            *more,
         )
     )
 
@@ -326,18 +327,15 @@ def user_universe(raw: DataFrame, purchases_df: DataFrame) -> DataFrame:
     )
 
 
-def users(raw: DataFrame, purchases_df: DataFrame) -> DataFrame:
-    """One row per user with first and last visit, session count and first purchase.
+def user_visits(raw: DataFrame, *by: str) -> DataFrame:
+    """Visits reduced to one row per user and session, and ``by`` besides.
 
-    Visits are reduced to one row per user and session first, which also counts
-    the sessions (a missing session id is one session). Those rows and the
-    purchases are then merged in a single grouping by user, which yields the
-    universe and its attributes together, without a join. The user without an
-    id is kept and has no attributes.
+    With the day of the shard in ``by`` the rows are a state that is stored by
+    day: a reload replaces its day, and ``users_of`` merges the days.
     """
-    visits = (
-        _user_visits(raw)
-        .groupBy("user_pseudo_id", "ga_session_id")
+    return (
+        _user_visits(raw, *by)
+        .groupBy("user_pseudo_id", "ga_session_id", *by)
         .agg(
             F.min("event_date_dt").alias("first_seen_date"),
             F.min("event_timestamp").alias("first_seen"),
@@ -345,9 +343,44 @@ def users(raw: DataFrame, purchases_df: DataFrame) -> DataFrame:
             F.max("user_first_touch_timestamp").alias("first_touch"),
             _earliest("attributes").alias("first"),
         )
-        .withColumn("sessions", F.lit(1).cast("bigint"))
-        .drop("ga_session_id")
     )
+
+
+def users(raw: DataFrame, purchases_df: DataFrame) -> DataFrame:
+    """One row per user with first and last visit, session count and first purchase."""
+    return _merged_users(user_visits(raw), purchases_df)
+
+
+def users_of(visits: DataFrame, purchases_df: DataFrame) -> DataFrame:
+    """``users`` from visits that were stored by day: a session seen on several days is one."""
+    sessions_ = visits.groupBy("user_pseudo_id", "ga_session_id").agg(
+        F.min("first_seen_date").alias("first_seen_date"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen_date").alias("last_seen_date"),
+        F.max("first_touch").alias("first_touch"),
+        F.min("first").alias("first"),
+    )
+    return _merged_users(sessions_, purchases_df)
+
+
+def moved_first_purchases(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Dates that were, or have become, the first purchase of a user whose first purchase moved."""
+    old = before.select("user_pseudo_id", F.col("first_purchase_date").alias("was"))
+    new = after.select("user_pseudo_id", F.col("first_purchase_date").alias("is_now"))
+    both = old.where("user_pseudo_id IS NOT NULL").join(new.where("user_pseudo_id IS NOT NULL"), "user_pseudo_id", "full")
+    moved = both.where(~F.col("was").eqNullSafe(F.col("is_now")))
+    return moved.select(F.explode(F.array_compact(F.array("was", "is_now"))).alias("date")).distinct()
+
+
+def _merged_users(sessions_: DataFrame, purchases_df: DataFrame) -> DataFrame:
+    """Users from one row per user and session.
+
+    A missing session id is one session. The rows and the purchases are merged
+    in a single grouping by user, which yields the universe and its attributes
+    together, without a join. The user without an id is kept and has no
+    attributes.
+    """
+    visits = sessions_.withColumn("sessions", F.lit(1).cast("bigint")).drop("ga_session_id")
     bought = purchases_df.select("user_pseudo_id", "purchase_date")
     merged = (
         visits.unionByName(bought, allowMissingColumns=True)

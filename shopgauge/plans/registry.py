@@ -12,7 +12,7 @@ from ..functions.params import has_params
 from ..operators import discovery, incremental, marts, quality, raw, reports, staging
 from ..schemas import PIPELINE_RUNS, RAW_EVENTS, RAW_PURCHASE_ITEMS
 from ..session import scratch_path, store
-from ..sources import tables
+from ..sources import snapshots, tables
 from ..sources.driver_tables import order_shards, web_shards
 from ..sources.shards import SUFFIX, in_range, shard_dates, shard_row_counts
 from . import job
@@ -46,8 +46,13 @@ def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.users(_events(spark, sf_dir, "session_start"), _purchases(spark, sf_dir))
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines, dealt over all cores: the given file is one row group, that is one task."""
+    return order_shards(spark, sf_dir, spread=spark.sparkContext.defaultParallelism)
+
+
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.purchase_items(raw.raw_purchase_items(order_shards(spark, sf_dir)))
+    return staging.purchase_items(raw.raw_purchase_items(_orders(spark, sf_dir)))
 
 
 def _customer_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,13 +71,16 @@ def _daily_and_weekly(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 
 
 def _weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _daily_and_weekly(spark, sf_dir)[1]
+    days = store(_customer_days(spark, sf_dir), "customer_days")
+    return marts.weekly_metrics(marts.daily_metrics(days, _sessions(spark, sf_dir)), days)
+
+
+def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store(marts.product_totals(_items(spark, sf_dir)), "product_totals")
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Totals open the items twice, so the items are stored first.
-    items = store(_items(spark, sf_dir), "items")
-    return marts.product_metrics(store(marts.product_totals(items), "product_totals"))
+    return marts.product_metrics(_totals(spark, sf_dir))
 
 
 def _day_of_month(column: str) -> Column:
@@ -146,7 +154,7 @@ def raw_events_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_purchase_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.raw_purchase_items(order_shards(spark, sf_dir)).drop("ingested_at")
+    return raw.raw_purchase_items(_orders(spark, sf_dir)).drop("ingested_at")
 
 
 def raw_reload_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,6 +183,47 @@ def raw_reload_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_event_day.join(item_rows, "date_suffix", "left")
 
 
+def one_day_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days reloaded one by one after a backfill without day 5 and parts of day 7.
+
+    Day 5 comes in, day 9 has become empty, and day 11, whose dates can't be
+    read, fails and keeps its rows. Each day with its rows and its last load.
+    """
+    day = _day_of_month(SUFFIX)
+    shards = web_shards(spark, sf_dir)
+    wh = job.Warehouse(spark, scratch_path(spark, "reload"))
+    wh.ensure_raw()
+    earlier = _raw_copy(shards)
+    job.backfill(wh, earlier, discovery.day_list(shard_dates(earlier)))
+    spoilt = F.when(day == 11, F.lit("no date")).otherwise(F.col("event_date"))
+    now = shards.where(day != 9).withColumn("event_date", spoilt)
+    three = shard_dates(shards).where(_day_of_month("date_suffix").isin(5, 9, 11))
+    job.load_each(wh, now, discovery.day_list(three))
+    loads = wh.ledger().groupBy(F.date_format("run_date", "yyyyMMdd").alias("date_suffix")).agg(
+        F.count("*").alias("loads"),
+        F.max_by("status", "started_at").alias("last_status"),
+        F.max_by("rows_processed", "started_at").alias("last_rows"),
+    )
+    rows = shard_row_counts(wh.events(), "event_rows")
+    return loads.join(rows, "date_suffix", "left").withColumn("event_rows", F.coalesce("event_rows", F.lit(0)))
+
+
+def late_days_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored daily mart after late days were loaded, staged by their indexes and followed day by day."""
+    shards = web_shards(spark, sf_dir)
+    earlier = _raw_copy(shards)
+    wh = job.Warehouse(spark, scratch_path(spark, "late"))
+    wh.ensure_raw()
+    job.backfill(wh, earlier, discovery.day_list(shard_dates(earlier)))
+    job.stage(wh, None)
+    job.build_marts(wh)
+    days = discovery.day_list(discovery.incomplete_dates(shards, wh.events()))
+    job.load_each(wh, shards, days)
+    job.stage(wh, days)
+    job.build_marts(wh)
+    return wh.table("mart_daily_metrics")
+
+
 def completed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.completed_dates(_ledger(spark, sf_dir))
 
@@ -263,12 +312,40 @@ def _delivery(purchases: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table of purchases after a delivery was merged into it by key."""
     target, batch = _delivery(store(_purchases(spark, sf_dir), "purchases"))
-    return incremental.upsert(target, batch, "event_id").select(
+    path = scratch_path(spark, "merged_purchases")
+    tables.rebuild_by_day(target, path, "purchase_date")
+    tables.merge_by_key(batch, path, "event_id", "purchase_date")
+    return snapshots.read(spark, path, batch.schema).select(
         "event_id", "purchase_date", "transaction_id", "revenue_usd"
     )
 
 
+def users_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users merged from what was stored of each day, after late days replaced theirs."""
+    complete = _events(spark, sf_dir, "session_start")
+    earlier = _raw_copy(complete)
+    path = scratch_path(spark, "user_visits")
+    visits = staging.user_visits(complete, SUFFIX)
+    tables.rebuild_by_day(staging.user_visits(earlier, SUFFIX), path, SUFFIX)
+    tables.reload_days(visits, path, discovery.day_list(discovery.incomplete_dates(complete, earlier)))
+    return staging.users_of(snapshots.read(spark, path, visits.schema), _purchases(spark, sf_dir))
+
+
+def products_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products from sums and orders per day, from one pass over the items."""
+    items = store(
+        _items(spark, sf_dir).select(
+            "item_name", "item_id", "transaction_id", "purchase_date", "category_l1", "category_l2",
+            "item_revenue_usd", "item_refund_usd", "quantity", "price_in_usd",
+        ),
+        "items",
+    )
+    days, orders = store(marts.product_days(items), "product_days"), marts.product_orders(items)
+    return marts.product_metrics(store(marts.product_totals_of(days, orders), "product_totals"))
+
+
 def schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An upsert into an older table that lacks the city and has a column since removed."""
     target, batch = _delivery(store(_purchases(spark, sf_dir), "purchases"))
@@ -312,11 +389,13 @@ def report_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_products_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_products_by_revenue(_products(spark, sf_dir))
+    best = marts.top_product_metrics(_totals(spark, sf_dir), "revenue_rank", reports.TOP)
+    return reports.top_products_by_revenue(best)
 
 
 def top_products_by_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_products_by_quantity(_products(spark, sf_dir))
+    best = marts.top_product_metrics(_totals(spark, sf_dir), "quantity_rank", reports.TOP)
+    return reports.top_products_by_quantity(best)
 
 
 # --- checks -----------------------------------------------------------------
@@ -343,19 +422,19 @@ def _checked_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = _checked_tables(spark, sf_dir)
     return quality.combine(
-        [quality.unique(name, built[name], key) for name, key in job.UNIQUE_KEYS.items()]
+        [quality.table_checks(name, built[name], key) for name, key in job.UNIQUE_KEYS.items()]
     )
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = _checked_tables(spark, sf_dir)
     return quality.combine(
-        [quality.not_null(name, built[name], cols) for name, cols in job.REQUIRED.items()]
+        [quality.table_checks(name, built[name], None, cols) for name, cols in job.REQUIRED.items()]
     )
 
 
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shards = order_shards(spark, sf_dir)
+    shards = _orders(spark, sf_dir)
     return quality.relationships(
         "relationships stg_purchase_items.event_id",
         staging.purchase_items(raw.raw_purchase_items(shards)),
@@ -447,6 +526,24 @@ def shard_range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_row_counts(in_range(shards, f"{month}10", f"{month}19"))
 
 
+def published_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily report as written and read back."""
+    report = reports.daily_report(_daily(spark, sf_dir))
+    path = scratch_path(spark, "daily_report")
+    tables.write_report(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+def gate_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate says of the tables with planted faults."""
+    try:
+        quality.gate(dq_planted_faults(spark, sf_dir))
+        said = None
+    except quality.CheckFailed as problem:
+        said = str(problem)
+    return spark.createDataFrame([(said is None, said)], "passed boolean, failing string")
+
+
 def dq_planted_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checks over tables with faults planted on certain days."""
     sessions = store(_sessions(spark, sf_dir), "sessions")
@@ -485,6 +582,8 @@ QUERIES: dict[str, Query] = {
     "incomplete_dates": incomplete_dates,
     "dates_to_process": dates_to_process,
     "raw_reload_day": raw_reload_day,
+    "one_day_reload": one_day_reload,
+    "late_days_daily": late_days_daily,
     "run_ledger": run_ledger,
     "recent_runs": recent_runs,
     "row_count_anomaly": row_count_anomaly,
@@ -499,6 +598,8 @@ QUERIES: dict[str, Query] = {
     "stg_users": _users,
     "incremental_filter": incremental_filter,
     "keyed_upsert": keyed_upsert,
+    "users_from_days": users_from_days,
+    "products_from_days": products_from_days,
     "schema_sync": schema_sync,
     "session_refresh": session_refresh,
     "new_vs_returning": new_vs_returning,
@@ -510,6 +611,8 @@ QUERIES: dict[str, Query] = {
     "report_weekly": report_weekly,
     "top_products_by_revenue": top_products_by_revenue,
     "top_products_by_quantity": top_products_by_quantity,
+    "published_report": published_report,
+    "gate_verdict": gate_verdict,
     "dq_unique": dq_unique,
     "dq_not_null": dq_not_null,
     "dq_relationships": dq_relationships,

@@ -171,14 +171,19 @@ def web_shards(spark: SparkSession, sf_dir: str, event_name: str | None = None)
     )
 
 
-def order_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_shards(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataFrame:
     """``lineitem`` as purchases, one per order line, of a part and an add-on.
 
     The lines of an order share its transaction id and its buyer, so
-    transaction ids repeat over events.
+    transaction ids repeat over events. ``spread`` deals the flat lines, of
+    which only the columns in use go along, over so many tasks before they are
+    widened. A file of few row groups needs it, since each is read by one task.
     """
     shipped = "CAST(l_shipdate AS timestamp_ntz)"
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    if spread:
+        lines = lines.repartition(spread)
+    rows = lines.selectExpr(
         "*",
         f"date_format({shipped}, 'yyyyMMdd') AS day",
         f"{_micros(shipped)} + (l_partkey * 7919 + l_suppkey * 104729 + l_linenumber) % {DAY}"

@@ -1,16 +1,18 @@
 """Stored tables: create, reload by day, rebuild, append, report files.
 
-Tables are Parquet folders. The raw ones are partitioned by day suffix, so a
-reload replaces folders of whole days and a reader skips the other days.
+Tables are snapshots, see ``snapshots``: a reader sees a table as it was before a
+write or as it is after it. The raw ones are partitioned by day suffix, so a reload
+replaces folders of whole days and a reader skips the other days.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import PIPELINE_RUNS, ddl
+from . import snapshots
 from .shards import SUFFIX
 
 
@@ -26,13 +28,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def create_if_absent(spark: SparkSession, path: str, columns: dict[str, str]) -> None:
-    """An empty table with declared columns, unless one is there."""
-    if not table_exists(spark, path):
-        spark.createDataFrame([], ddl(columns)).write.parquet(path)
+    """An empty table, unless one is there. Its columns are those that readers declare."""
+    snapshots.create(spark, path)
 
 
 def read_table(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    return spark.read.schema(ddl(columns)).parquet(path).select(*columns)
+    return snapshots.read(spark, path, ddl(columns))
 
 
 def reload_day(
@@ -40,13 +41,10 @@ def reload_day(
 ) -> None:
     """Replace one day of a table partitioned by ``column``.
 
-    The day's folder is overwritten as such, so a day that has become empty is
-    cleared, and running it twice leaves the same rows as running it once.
+    A day that has become empty is cleared, and running it twice leaves the
+    same rows as running it once.
     """
-    one = rows.where(F.col(column) == day).drop(column)
-    if cluster_by:
-        one = one.sortWithinPartitions(*cluster_by)
-    one.write.mode("overwrite").parquet(f"{path}/{column}={day}")
+    reload_days(rows, path, [day], column, cluster_by, by_day_already=True)
 
 
 def reload_days(
@@ -63,42 +61,59 @@ def reload_days(
     over several files and joins light ones. Rows read from files of single
     days (``by_day_already``) are written as they come, without a shuffle.
     ``cluster_by`` sorts inside the files for row-group statistics. Named days
-    without rows are cleared one by one, since an overwrite by found days would
-    leave them; which days have rows is observed while they are written.
+    without rows are cleared: the folders written tell which days have any.
     """
     if days == []:
         return
-    seen = Observation()
     if days is not None:
-        rows = rows.where(F.col(column).isin(days)).observe(seen, F.collect_set(column).alias("days"))
+        rows = rows.where(in_days(column, days))
     laid_out = rows if by_day_already else rows.hint("rebalance", column)
     if cluster_by:
         laid_out = laid_out.sortWithinPartitions(column, *cluster_by)
-    (
-        laid_out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
-    if days is not None:
-        for day in sorted(set(days) - set(seen.get["days"] or [])):  # one per day
-            reload_day(rows, path, day, column)
+    snapshots.replace_partitions(laid_out, path, column, days)
+
+
+def in_days(column: str, days: list) -> Column:
+    """Rows of some days, of which NULL may be one; never NULL itself."""
+    known = F.coalesce(F.col(column).isin([day for day in days if day is not None]), F.lit(False))
+    return known | F.col(column).isNull() if None in days else known
+
+
+def merge_by_key(
+    batch: DataFrame, path: str, key: str, column: str, gone: DataFrame | None = None
+) -> list:
+    """Merge ``batch`` into a table partitioned by ``column``; returns the days rewritten.
+
+    Rows of ``batch`` replace those of equal key, wherever these lie; keys in
+    ``gone`` that ``batch`` lacks disappear. Which partitions hold such keys is
+    found from the two columns alone, and only these are read in full and
+    rewritten; the others keep their files. Columns follow those of ``batch``.
+    ``batch`` is read several times and has one row per key, so store it first.
+    """
+    spark = batch.sparkSession
+    target = snapshots.read(spark, path, batch.schema)
+    keys = batch.select(key) if gone is None else batch.select(key).union(gone.select(key)).distinct()
+    held = target.select(key, column).join(keys, key, "left_semi").select(column)
+    days = [row[0] for row in held.union(batch.select(column)).distinct().collect()]  # one per day
+    kept = target.where(in_days(column, days)).join(keys, key, "left_anti").select(*batch.columns)
+    reload_days(kept.unionByName(batch), path, days, column)
+    return days
 
 
-def clear(spark: SparkSession, path: str, columns: dict[str, str]) -> None:
-    """Empty a table with declared columns."""
-    spark.createDataFrame([], ddl(columns)).write.mode("overwrite").parquet(path)
+def rebuild_by_day(rows: DataFrame, path: str, column: str) -> None:
+    """Replace a whole table partitioned by ``column``."""
+    snapshots.replace_all(rows.hint("rebalance", column), path, column)
 
 
 def rebuild(df: DataFrame, path: str) -> DataFrame:
-    """Replace a whole table and read it back. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace a whole table and read it back. ``df`` may read from the table as it was."""
+    snapshots.replace_all(df, path)
+    return snapshots.read(df.sparkSession, path, df.schema)
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
     """Add many attempts at once, such as the days of a backfill."""
-    runs.select(*PIPELINE_RUNS).write.mode("append").parquet(path)
+    snapshots.append(runs.select(*PIPELINE_RUNS), path)
 
 
 def write_report(report: DataFrame, path: str) -> None:

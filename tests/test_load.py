@@ -240,7 +240,7 @@ def test_a_run_that_breaks_while_staging_is_made_good(spark, tmp_path, monkeypat
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(staging, "users", broken)
+        patch.setattr(staging, "users_of", broken)
         with pytest.raises(OSError):
             job.run(spark, source, step)
     assert job.run(spark, source, step) == {"days": []}
