@@ -130,7 +130,7 @@ def whiten(vectors: DataFrame, components: int = 16, id_: str = "vec_id", vector
     turn = axes[:, :k] / np.sqrt(values[:k])
     cut = range(0, width, COLUMNS)
     parts = [((b, 0), Matrices.dense(len(turn[a : a + COLUMNS]), k, turn[a : a + COLUMNS].ravel(order="F").tolist())) for b, a in enumerate(cut)]
-    whitening = BlockMatrix(spark.sparkContext.parallelize(parts, len(parts)), COLUMNS, COLUMNS, width, k)
+    whitening = BlockMatrix(spark.sparkContext.parallelize(parts, len(parts)), COLUMNS, k, width, k)
     projected = matrix.multiply(whitening)
     error = float(np.abs(squared(projected) / n - np.eye(k)).max())
     indexed = callMLlibFunc("getIndexedRows", projected.toIndexedRowMatrix()._java_matrix_wrapper._java_model)
