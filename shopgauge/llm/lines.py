@@ -1,16 +1,17 @@
 """Removal of stretches of lines that occur again anywhere in the corpus.
 
-A stretch of two lines and more is repeated where each pair of neighbouring
-lines in it is, so every pair is counted over the whole corpus, by its hash, and
-a line goes with each pair that has occurred before. So the same stretch is
-found wherever it stands, from its first line to its last, whatever is around
-it. A line as long as a passage counts alone as well. What has one hash is
-compared byte by byte; the first occurrence stays and the others go.
-
-Two blank lines are no pair. Where blank lines stand together, whole chunks
-count besides, cut at places that the lines themselves choose: a rolling hash
-over the hashes of two neighbouring lines, and a cut behind every line where it
-is smaller than before and behind.
+A stretch of two lines with words and more is repeated where each pair of
+neighbouring lines with words in it is, with the blank lines between them. So
+every pair is counted over the whole corpus, by its hash, and lines go with each
+pair that has occurred before. So the same stretch is found wherever it stands,
+from its first line to its last, whatever is around it; a single line never goes
+because of the blank lines beside it. A line as long as a passage counts alone as
+well. What has one hash is compared byte by byte; the first occurrence stays and
+the others go.
+
+Where blank lines stand together, whole chunks count besides, cut at places that
+the lines themselves choose: a rolling hash over the hashes of two neighbouring
+lines, and a cut behind every line where it is smaller than before and behind.
 
 Only DataFrame functions are used.
 """
@@ -45,9 +46,9 @@ def chunk_text(lines: Column, chunk: Column) -> Column:
 
 
 def cut(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
-    """``_id, _row, first, last, hash`` of all that may go: pairs of neighbouring lines, passages, and chunks with blank lines together.
+    """``_id, _row, first, last, hash`` of all that may go: pairs of neighbouring lines with words, passages, and chunks with blank lines together.
 
-    ``_row`` is the hash of the text. What is without a word is left out.
+    ``_row`` is the hash of the text. What has less than two lines with words is left out, but for passages.
     """
     blank = r"^[\x20\x09-\x0D]*$"
     lines = docs.select(
@@ -67,17 +68,20 @@ def cut(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     n = F.size("hashes")
     starts = F.sequence(F.lit(0), n - 2)
     together = lambda i: at("blank", i) & at("blank", i + 1)
-    pairs = F.transform(F.filter(starts, lambda i: ~together(i)), lambda i: unit(i, i + 1, F.xxhash64(at("hashes", i), at("hashes", i + 1))))
+    spoken = F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~at("blank", i))
+    between = lambda i, j: F.when(j == i + 1, F.xxhash64(at("hashes", i), at("hashes", j))).otherwise(F.xxhash64(F.slice("hashes", i + 1, j - i + 1)))
+    but_one = F.greatest(F.size(spoken) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(spoken, 1, but_one), F.slice(spoken, 2, but_one), lambda i, j: unit(i, j, between(i, j)))
     singles = F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda i: at("passage", i)), lambda i: unit(i, i, at("hashes", i)))
     part = lambda name, c: F.slice(name, c["first"] + 1, c["last"] - c["first"] + 1)
     # of chunks without blank lines together, the pairs say as much
     gaps = F.filter(
         chunks_of(F.col("hashes"), F.col("hashes"), F.col("passage")),
-        lambda c: F.exists(F.sequence(c["first"], c["last"]), lambda i: (i < c["last"]) & together(i)) & F.exists(part("blank", c), lambda x: ~x),
+        lambda c: F.exists(F.sequence(c["first"], c["last"]), lambda i: (i < c["last"]) & together(i)) & (F.size(F.filter(part("blank", c), lambda x: ~x)) >= 2),
     )
     chunks = F.transform(gaps, lambda c: unit(c["first"], c["last"], F.xxhash64(part("hashes", c))))
     some = F.when(n > 1, F.exists(starts, together)).otherwise(F.lit(False))
-    found = F.concat(F.when(n > 1, pairs).otherwise(none), singles, F.when(some, chunks).otherwise(none))
+    found = F.concat(F.when(F.size(spoken) > 1, pairs).otherwise(none), singles, F.when(some, chunks).otherwise(none))
     return marked.select("_id", "_row", F.explode(found).alias("unit")).select("_id", "_row", "unit.first", "unit.last", "unit.hash")
 
 
