@@ -1,10 +1,11 @@
 """Personal data: fixed patterns, and identifiers found by their context.
 
-The fixed patterns give the seeds. Tokens with a digit stand in contexts, the
-words around them; contexts and tokens make a graph. A context is as good as
+The fixed patterns give the seeds. Tokens with a digit or an @ stand in contexts,
+the words around them; contexts and tokens make a graph. A context is as good as
 the tokens it holds, a token as good as its best context, starting from the
-seeds, for a few rounds. Tokens in contexts that come out well, and that no
-fixed pattern has found, are added.
+seeds, for a few rounds. Tokens in contexts that come out well are sure as seeds
+are, and so lead to further contexts. Those that no fixed pattern has found are
+added.
 
 Only DataFrame functions are used. Repetitions in the patterns are possessive
 wherever that changes no match, so that no text makes them slow or deep.
@@ -24,11 +25,11 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-#: A token with a digit, from blank to blank.
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+#: A token with a digit or an @, from blank to blank.
+TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 #: Shapes of credentials, which count as seeds besides the base kinds.
 SHAPES = r"^(?:AKIA[0-9A-Z]{16}|[0-9a-f]{32,64})$"
-#: Code points of context on either side of a token, and what is known of a match.
+#: Code points of context on either side of a token, and what is known of a match. A word that reaches further is no context.
 REACH = 60
 SPAN = "struct<start:int,end:int,found:string,left:string,right:string>"
 #: Spans in a block while they are gathered.
@@ -134,15 +135,20 @@ def base_spans(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Tokens with a digit: ``start`` and ``end`` without signs at either end, ``own``, and the contexts they stand in."""
+    """Tokens with a digit or an @: ``start`` and ``end`` without signs at either end, ``own``, and the contexts they stand in."""
 
     def token(s: Column) -> Column:
-        core = F.regexp_extract(s["found"], r"^[^\p{L}\p{N}]*+(.*?)[^\p{L}\p{N}]*+$", 1)
-        begin = s["start"] + F.length(F.regexp_extract(s["found"], r"^[^\p{L}\p{N}]*+", 0))
-        left, right = F.lower(s["left"]), F.lower(s["right"])
+        signs = r"^[^\p{L}\p{N}]++"
+        rest = F.regexp_replace(s["found"], signs, "")
+        # an end is looked for from the end: otherwise each sign of a long run would be tried
+        core = F.reverse(F.regexp_replace(F.reverse(rest), signs, ""))
+        begin = s["start"] + F.length(s["found"]) - F.length(rest)
+        # a word at the edge may be cut, so the edge counts as a part of it
+        whole = F.when(F.length(s["left"]) < REACH, F.concat(F.lit(" "), s["left"])).otherwise(s["left"])
+        left, right = F.lower(whole), F.lower(s["right"])
         mask = lambda c: F.regexp_replace(c, "[0-9]+", "0")
-        two = mask(F.regexp_extract(left, r"(?:^|[\x20\x09-\x0D])([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1))
-        one = mask(F.regexp_extract(left, r"(?:^|[\x20\x09-\x0D])([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1))
+        two = mask(F.regexp_extract(left, r"[\x20\x09-\x0D]([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1))
+        one = mask(F.regexp_extract(left, r"[\x20\x09-\x0D]([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1))
         after = mask(F.regexp_extract(right, r"^[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]", 1))
         contexts = F.array(
             F.when(two != "", F.concat(F.lit("2 "), two)),
@@ -150,7 +156,7 @@ def tokens(text: Column) -> Column:
         )
         return F.struct(begin.alias("start"), (begin + F.length(core)).alias("end"), core.alias("own"), F.array_compact(contexts).alias("contexts"))
 
-    return F.transform(F.when(text.rlike("[0-9]"), matches(text, TOKEN)).otherwise(none()), token)
+    return F.transform(F.when(text.rlike("[0-9@]"), matches(text, TOKEN)).otherwise(none()), token)
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -170,29 +176,33 @@ def occurrences(measured: DataFrame) -> DataFrame:
 
 
 def good_contexts(found: DataFrame, rounds: int = ROUNDS, least: int = LEAST_SEEDS, confident: float = CONFIDENT) -> DataFrame:
-    """``context, score`` of those that hold enough seeds and score well.
+    """``context, score`` of those that hold enough sure tokens and score well.
 
     Edges are counted once for each context and token, merged before the
     shuffle, and written to the shared folder; every round reads them again.
     A context's score is the mean score of its tokens, with one bad token
-    added; a token's is the best score among its contexts, 1 for a seed.
+    added; a token's is the best score among its contexts, 1 for a seed. A
+    token of a context that has come out well is sure in the next round, as a
+    seed is: so identifiers found in one context lead to others.
     """
     edges = store(
         found.select("token", "seed", F.explode("contexts").alias("context")).groupBy("context", "token").agg(F.max("seed").alias("seed")),
         "pii-edges",
     )
-    scored = edges.withColumn("score", F.col("seed").cast("double"))
+    scored = edges.select("context", "token", F.col("seed").alias("sure"), F.col("seed").cast("double").alias("score"))
+
+    def contexts(of: DataFrame) -> DataFrame:
+        good = F.sum("score") / (F.count("*") + 1)
+        counted = of.groupBy("context").agg(good.alias("good"), F.count_if("sure").alias("seeds"))
+        return counted.withColumn("accepted", (F.col("seeds") >= least) & (F.col("good") >= confident))
+
     for _ in range(rounds):
-        contexts = scored.groupBy("context").agg((F.sum("score") / (F.count("*") + 1)).alias("good"))
-        best = edges.join(contexts, "context").groupBy("token").agg(F.max("good").alias("best"), F.max("seed").alias("is_seed"))
-        scored = edges.join(best, "token").select("context", "token", "seed", F.when(F.col("is_seed"), 1.0).otherwise(F.col("best")).alias("score"))
-        scored = store(scored, "pii-scores")
-    return (
-        scored.groupBy("context")
-        .agg(F.sum(F.col("seed").cast("long")).alias("seeds"), (F.sum("score") / (F.count("*") + 1)).alias("score"))
-        .where((F.col("seeds") >= least) & (F.col("score") >= confident))
-        .select("context", "score")
-    )
+        best = edges.join(contexts(scored), "context").groupBy("token").agg(
+            F.max("good").alias("best"), F.max(F.col("seed") | F.col("accepted")).alias("sure"), F.max("seed").alias("is_seed")
+        )
+        score = F.when(F.col("is_seed"), 1.0).otherwise(F.col("best"))
+        scored = store(edges.join(best, "token").select("context", "token", "sure", score.alias("score")), "pii-scores")
+    return contexts(scored).where("accepted").select("context", F.col("good").alias("score"))
 
 
 def find(docs: DataFrame) -> DataFrame:
