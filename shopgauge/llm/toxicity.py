@@ -38,8 +38,6 @@ TOKEN = re.compile(r"[^\W\d_]+")
 
 #: Labelled texts of each kind that the lexicon is learned from, chosen by the hash of their id.
 TEXTS = 20_000
-#: Entries that the lexicon may have, the clearest ones, and exception phrases.
-ENTRIES, PHRASES = 5_000, 5_000
 #: Lengths of beginnings of words.
 STEMS = range(4, 9)
 
@@ -102,27 +100,48 @@ class Matcher:
             weight = max(begin, whole) if ends else begin
             if weight > found.get(at, 0.0):
                 found[at] = weight
-        for low, high in excepted:
-            for at in [a for a in found if low <= a <= high]:
-                del found[at]
-        return found
+        return uncovered(found, excepted)
 
-    def features(self, text: str) -> tuple[float, float]:
-        """The weight found, by the square root of the number of words, and in all."""
+    def measure(self, text: str) -> tuple[float, float, int]:
+        """The weight found, by the square root of the number of words, and in all; and the number of matches."""
         folded = fold(text)
-        weight = sum(self.spans(folded).values())
-        return (np.log1p(weight / np.sqrt(1 + folded.count(" "))), np.log1p(weight)) if weight else (0.0, 0.0)
+        found = self.spans(folded)
+        weight = sum(found.values())
+        return (np.log1p(weight / np.sqrt(1 + folded.count(" "))), np.log1p(weight), len(found)) if weight else (0.0, 0.0, len(found))
+
+    def features(self, text: str) -> tuple[float, float]:
+        return self.measure(text)[:2]
 
     def score(self, text: str) -> float:
+        return self.judge(text)[0]
+
+    def judge(self, text: str) -> tuple[float, int]:
+        """The score, and the number of matches."""
         a, b, c = self.lexicon.slope
-        x, y = self.features(text)
-        return float(1 / (1 + np.exp(-(a * x + b * y + c))))
+        x, y, hits = self.measure(text)
+        return float(1 / (1 + np.exp(-(a * x + b * y + c)))), hits
+
+
+def uncovered(found: dict[int, float], excepted: list[tuple[int, int]]) -> dict[int, float]:
+    """The matches that begin in no exception. Both are gone through once, in their order."""
+    if not excepted:
+        return found
+    out: dict[int, float] = {}
+    spans = iter(sorted(excepted))
+    span, reach = next(spans, None), -1
+    for at in sorted(found):
+        while span is not None and span[0] <= at:
+            reach = max(reach, span[1])
+            span = next(spans, None)
+        if at > reach:
+            out[at] = found[at]
+    return out
 
 
 def terms(text: str) -> set[str]:
     """Words, with a blank behind, and beginnings of words."""
     words = set(TOKEN.findall(fold(text)))
-    return {w + " " for w in words if 2 < len(w) <= 40} | {w[:n] for w in words for n in STEMS if len(w) > n}
+    return {w + " " for w in words if len(w) > 2} | {w[:n] for w in words for n in STEMS if len(w) > n}
 
 
 def phrases(text: str, matcher: Matcher) -> set[str]:
@@ -136,7 +155,7 @@ def phrases(text: str, matcher: Matcher) -> set[str]:
     for k, (at, _) in enumerate(words):
         if at in found:
             for j in (k - 1, k):
-                if 0 <= j < len(words) - 1 and words[j + 1][1] - words[j][0] <= 80:
+                if 0 <= j < len(words) - 1:
                     out.add(folded[words[j][0] : words[j + 1][1]])
     return out
 
@@ -195,8 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, texts: int = TEXTS, least: int = 5,
         .where(F.col("toxic") >= least)
         .select("term", odds.alias("odds"), (odds / error).alias("z"))
         .where("z >= 4 and odds >= 3")
-        .orderBy(F.desc("z"), "term")
-        .limit(ENTRIES)
+        .orderBy("term")
         .collect()
     )
     lexicon = Lexicon({r["term"]: r["odds"] for r in top}, list(exceptions))
@@ -209,9 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, texts: int = TEXTS, least: int = 5,
         return lambda text: phrases(text, matcher)
 
     shared = spark.sparkContext.broadcast(lexicon)
-    excepted = (
-        tally(rows, finder).where("clean >= 5 and toxic = 0").orderBy(F.desc("clean"), "term").limit(PHRASES).collect()
-    )
+    excepted = tally(rows, finder).where("clean >= 5 and toxic = 0").orderBy("term").collect()
     lexicon = Lexicon(lexicon.entries, [*exceptions, *(r["term"] for r in excepted)])
     seen = spark.sparkContext.broadcast(lexicon)
 
@@ -242,9 +258,9 @@ def score(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
         matcher = Matcher(shared.value)
         for part in slices(batches, 1024, 8_000_000):
             texts = [t or "" for t in part.column("text").to_pylist()]
-            scores = [matcher.score(t) for t in texts]
-            hits = [len(matcher.spans(fold(t))) if s >= 0.5 else 0 for t, s in zip(texts, scores, strict=True)]
-            more = [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(hits, pa.int64())]
+            judged = [matcher.judge(t) for t in texts]
+            scores = [s for s, _ in judged]
+            more = [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array([n for _, n in judged], pa.int64())]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *more], [*keep, "score", "predicted", "n_matches"])
 
     return rows.mapInArrow(run, schema)
