@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopgauge.llm.common import chosen, fraction_for, hashed_below, schema_with, slices
+from shopgauge.llm.common import chosen, fraction_for, hashed_below, schema_with, slices, store
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Training texts per language, chosen by the hash of their id.
 TEXTS = 5_000
 #: Words, and n-grams of each length, that the model keeps per language, the most frequent ones.
 WORDS, GRAMS = 20_000, 5_000
+#: Parts in which the n-grams of a language are ranked first.
+PARTS = 64
 LONGEST = 5
 #: Places in a word, with its ends marked, at which the n-grams of one piece begin.
 PIECE = 42
@@ -95,7 +97,8 @@ def fit(docs: DataFrame, texts: int = TEXTS) -> Model:
 
     About ``texts`` documents per language are read, chosen by the hash of
     their id; the tables that reach the driver have at most ``WORDS`` words and
-    ``LONGEST * GRAMS`` n-grams per language. Without rows the model knows no
+    ``LONGEST * GRAMS`` n-grams per language, with their counts in all
+    languages. Without rows the model knows no
     language and every prediction is ``und``.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
@@ -105,13 +108,17 @@ def fit(docs: DataFrame, texts: int = TEXTS) -> Model:
     wanted = F.lit(False)
     for lang, size in sizes.items():
         wanted = wanted | ((F.col("lang") == lang) & hashed_below("doc_id", fraction_for(texts, size)))
-    found = counts(usable.where(wanted))
-    rank = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("count"), "gram"))
-    total = F.sum("count").over(Window.partitionBy("lang", "n"))
-    kept = found.select("*", rank.alias("rank"), total.alias("total")).where(
-        F.col("rank") <= F.when(F.col("n") == 0, WORDS).otherwise(GRAMS)
-    )
-    rows = kept.select("lang", "n", "gram", "count", "total").toPandas()
+    found = store(counts(usable.where(wanted)), "language-counts")
+    best = [F.desc("count"), "gram"]
+    most = F.when(F.col("n") == 0, WORDS).otherwise(GRAMS)
+    # the most frequent of each part first, so that no task ranks all n-grams of a language
+    parted = found.withColumn("part", F.pmod(F.xxhash64("gram"), F.lit(PARTS)))
+    some = parted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "n", "part").orderBy(*best))).where(F.col("rank") <= most)
+    kept = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "n").orderBy(*best))).where(F.col("rank") <= most)
+    # what is kept for one language is counted in all
+    total = found.groupBy("lang", "n").agg(F.sum("count").alias("total"))
+    counted = found.join(kept.select("n", "gram").distinct(), ["n", "gram"]).join(F.broadcast(total), ["lang", "n"])
+    rows = counted.select("lang", "n", "gram", "count", "total").toPandas()
     languages = sorted(sizes)
     column = {lang: i for i, lang in enumerate(languages)}
     tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
