@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgauge.llm.common import schema_with, slices
+from shopgauge.llm.common import schema_with, slices, store
 
 TOKEN = re.compile(r"[^\W_]+")
 MARK = re.compile(r"(?i)\b(?:answer|a)\s*:")
@@ -31,7 +31,7 @@ K1, B = 1.2, 0.75
 THRESHOLD, QUESTION, ANSWER = 0.6, 0.6, 0.5
 #: Words in a run that is compared, items in a block, and words in half a stretch (more if an item is longer).
 RUN, BLOCK, HALF = 3, 4, 64
-#: Bytes of items in one index; more items make more indexes, searched one after the other.
+#: Bytes of items in one index, which a worker holds; more items make more indexes, searched one after the other.
 INDEX_BYTES = 16_000_000
 
 
@@ -73,22 +73,28 @@ class Item:
 
 
 class Index:
-    """Postings by term, with the largest weight of each term in all items and in each block."""
+    """Postings by term, with the largest weight of each term in all items and in each block.
 
-    def __init__(self, items: list[tuple[int | None, str]]):
+    ``often``, ``count`` and ``mean``: in how many items of the whole test set each
+    term is, how many items there are, and their mean length. If not given,
+    they are those of ``items``.
+    """
+
+    def __init__(self, items: list[tuple[int | None, str]], often: dict[str, int] | None = None, count: int = 0, mean: float = 0.0):
         self.items = [Item(i, *parts(text)) for i, text in items]
         words = [x.question + x.answer for x in self.items]
         self.items = [x for x, w in zip(self.items, words, strict=True) if w]
         words = [w for w in words if w]
         self.longest = max(map(len, words), default=0)
-        mean = sum(map(len, words)) / max(1, len(words))
-        often = Counter(t for w in words for t in set(w))
-        self.term = {t: k for k, t in enumerate(sorted(often))}
+        if often is None:
+            count, mean = len(words), sum(map(len, words)) / max(1, len(words))
+            often = Counter(t for w in words for t in set(w))
+        self.term = {t: k for k, t in enumerate(sorted({t for w in words for t in w}))}
         self.postings: list[list[tuple[int, float]]] = [[] for _ in self.term]
         for d, w in enumerate(words):
             own = {}
             for t, n in Counter(w).items():
-                idf = log(1 + (len(words) - often[t] + 0.5) / (often[t] + 0.5))
+                idf = log(1 + (count - often[t] + 0.5) / (often[t] + 0.5))
                 own[t] = idf * n * (K1 + 1) / (n + K1 * (1 - B + B * len(w) / mean))
             whole = sum(own.values())
             for t, x in own.items():
@@ -182,22 +188,43 @@ class Index:
         return out
 
 
-def indexes(items: DataFrame, size: int = INDEX_BYTES) -> list[Index]:
-    """Indexes over all items (``item_id``, ``text``), each of about ``size`` bytes of text.
+def words_of_items(items: DataFrame) -> DataFrame:
+    """``item_id, text, n, terms`` of the items with a word: how many words they have, and which."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1024, 8_000_000):
+            words = [q + a for q, a in map(parts, part.column("text").to_pylist())]
+            held = [k for k, w in enumerate(words) if w]
+            rows = part.take(pa.array(held, pa.int64()))
+            more = [pa.array([len(words[k]) for k in held], pa.int64()), pa.array([sorted(set(words[k])) for k in held], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([rows.column("item_id"), rows.column("text"), *more], ["item_id", "text", "n", "terms"])
 
-    Null texts and texts without a word can't be found and are left out. With
-    several indexes, word frequencies are those of each index's own items,
-    which are dealt out by hash.
-    """
     own = items.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    whole = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return own.mapInArrow(run, "item_id long, text string, n long, terms array<string>")
+
+
+def indexes(items: DataFrame, size: int = INDEX_BYTES) -> Iterator[Index]:
+    """Indexes over all items (``item_id``, ``text``), each of about ``size`` bytes of text, one after the other.
+
+    Null texts and texts without a word can't be found and are left out. Items
+    are dealt out by hash; frequencies and the mean length are those of all
+    items, so scores don't depend on the dealing.
+    """
+    own = store(words_of_items(items), "benchmark-items")
+    whole, number, words = own.agg(F.sum(F.octet_length("text")), F.count("*"), F.sum("n")).first()
+    if not number:
+        return
+    terms = F.explode("terms").alias("term")
+    often = store(own.select(terms).groupBy("term").count(), "benchmark-terms")
     count = max(1, ceil(whole / size))
-    dealt = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    found = []
+    dealt = own.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(count)))
     for k in range(count):
-        rows = own.where(dealt == k).collect()
-        found.append(Index(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))))
-    return found
+        block = dealt.where(F.col("block") == k)
+        rows = block.select("item_id", "text").collect()
+        if rows:
+            held = often if count == 1 else often.join(block.select(terms).distinct(), "term", "left_semi")
+            ordered = sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+            yield Index(ordered, {r["term"]: r["count"] for r in held.collect()}, number, words / number)
 
 
 LEAK = "array<struct<item_id:bigint,score:double,question:double,answer:double,word:bigint>>"
@@ -215,7 +242,9 @@ def flag(docs: DataFrame, items: DataFrame) -> DataFrame:
     docs = docs.drop("leaks")
     out = docs
     names = docs.columns
-    for index in indexes(items):
+    for k, index in enumerate(indexes(items)):
+        if k:  # one index at a time in a worker
+            out = store(out, "benchmark-leaks")
         shared = docs.sparkSession.sparkContext.broadcast(index)
         schema = schema_with(docs, f"leaks {LEAK}")
 
@@ -231,7 +260,7 @@ def flag(docs: DataFrame, items: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(more, LEAKS)], [*names, "leaks"])
 
         out = out.mapInArrow(run, schema)
-    return out
+    return out if "leaks" in out.columns else out.withColumn("leaks", F.array().cast(LEAK))
 
 
 LEAKS = pa.list_(
