@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -190,6 +191,53 @@ def test_matches_and_exceptions():
     assert toxicity.Matcher(toxicity.Lexicon()).score("idiot") == pytest.approx(1 / (1 + np.exp(2)))
 
 
+def test_scores_do_not_depend_on_the_dealing(spark, monkeypatch):
+    """One index or many: the same items, scores and overlaps."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    found = []
+    for size in (16_000_000, 300):
+        monkeypatch.setattr(decontaminate, "INDEX_BYTES", size)
+        monkeypatch.setattr(decontaminate.indexes, "__defaults__", (size,))
+        rows = decontaminate.flag(docs, items).where(F.size("leaks") > 0).select("doc_id", F.explode("leaks").alias("l")).select("doc_id", "l.item_id", "l.score")
+        found.append({(r.doc_id, r.item_id): round(r.score, 9) for r in rows.collect()})
+    assert found[0] and found[0] == found[1]
+
+
+def test_exceptions_are_merged_in_one_pass():
+    rng = random.Random(8)
+    for _ in range(300):
+        found = {rng.randint(0, 60): 1.0 for _ in range(rng.randint(0, 20))}
+        spans = [(a, a + rng.randint(0, 8)) for a in rng.choices(range(60), k=rng.randint(0, 6))]
+        expected = {a: w for a, w in found.items() if not any(x <= a <= y for x, y in spans)}
+        assert toxicity.uncovered(dict(found), spans) == expected
+    matcher = toxicity.Matcher(toxicity.Lexicon({"idiot ": 3.0}, ["not idiot"], (1.0, 0.0, 0.0)))
+    began = time.perf_counter()
+    assert matcher.judge("not idiot idiot " * 100_000)[1] == 100_000 and time.perf_counter() - began < 20
+
+
+def test_long_words_and_all_matches_count(spark):
+    long = "x" * 60
+    lexicon = toxicity.Lexicon({long + " ": 0.5}, [], (1.0, 0.0, -9.0))
+    rows = spark.createDataFrame([(1, f"{long} {long}"), (2, long + "y"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.predicted, r.n_matches) for r in toxicity.score(rows, lexicon, ["doc_id"]).collect()}
+    assert got == {1: (0, 2), 2: (0, 0), 3: (0, 0)}
+    assert long + " " in toxicity.terms(f"a {long}")
+
+
+def test_language_counts_kept_grams_in_every_language(spark, monkeypatch):
+    """A word that is kept for one language has its count in the other too, though it ranks lower there."""
+    monkeypatch.setattr(langid, "WORDS", 1)
+    rows = [(k, "aa", "common common rare") for k in range(4)] + [(10 + k, "bb", "own own own common") for k in range(4)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert set(model.words) == {"common", "own"}
+    total = {"aa": 12, "bb": 16}
+    many = {"common": {"aa": 8, "bb": 4}, "own": {"aa": 0, "bb": 12}}
+    for word, by in many.items():
+        expected = [np.log((by[x] + 0.5) / (total[x] + 1.0)) for x in ("aa", "bb")]
+        assert model.words[word] == pytest.approx(expected, abs=1e-5)
+
+
 def test_toxicity_by_brute_force(spark, docs, odd):
     lexicon = toxicity.Lexicon({"idiot ": 3.0, "tra": 1.5, "clown ": 2.0}, [], (2.0, 1.0, -1.0))
     rows = docs.select("doc_id", "text").unionByName(odd)
@@ -301,7 +349,7 @@ def test_decontamination_leaves_parts_alone(spark):
 
 def test_several_indexes(spark):
     items = spark.createDataFrame([(k, f"alpha{k} beta{k} gamma{k} delta{k} epsilon{k}") for k in range(40)], "item_id long, text string")
-    assert len(decontaminate.indexes(items, 200)) > 3
+    assert len(list(decontaminate.indexes(items, 200))) > 3
     docs = spark.createDataFrame([(k, f"x alpha{k} beta{k} gamma{k} delta{k} epsilon{k} y") for k in range(40)], "doc_id long, text string")
     size, decontaminate.indexes.__defaults__ = decontaminate.indexes.__defaults__, (200,)
     try:
