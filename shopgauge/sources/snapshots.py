@@ -58,6 +58,12 @@ class _Files:
     def delete(self, name: str) -> None:
         self.fs.delete(self.path(name), True)
 
+    def put_in_place(self, fresh: str, name: str) -> None:
+        """A folder that has been written takes the place of another."""
+        self.delete(name)
+        if not self.fs.rename(self.path(fresh), self.path(name)):
+            raise RuntimeError(f"{fresh} could not be renamed")
+
 
 def _manifest(path: str, number: int) -> str:
     return f"{path}/manifest/{number:012d}"
@@ -156,6 +162,19 @@ def append(rows: DataFrame, path: str) -> None:
     _publish(spark, path, folders(spark, path) + _write(rows, path, None))
 
 
+def replace_folder(write, spark: SparkSession, path: str) -> None:
+    """Have ``write`` fill a folder, then let it replace the one at ``path``, for files that others read by their place.
+
+    A write that breaks leaves the old folder; only for the rename is there none.
+    """
+    fresh = f"{path}.{uuid.uuid4().hex}"
+    try:
+        write(fresh)
+        _Files(spark, path).put_in_place(fresh, path)
+    finally:
+        _Files(spark, path).delete(fresh)
+
+
 def compact(spark: SparkSession, path: str, schema, most: int = 32) -> bool:
     """Rewrite a table of more than ``most`` appended folders as one; True if there was something to do."""
     if len(folders(spark, path)) <= most:

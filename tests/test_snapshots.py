@@ -85,6 +85,18 @@ def test_appends_are_joined(spark, tmp_path):
     assert [r[0] for r in stored(spark, path)] == [0, 1, 2, 3]
 
 
+def test_a_report_that_breaks_leaves_the_old_one(spark, tmp_path):
+    path = str(tmp_path / "reports" / "r")
+    good = spark.createDataFrame([("1", "a")], "n string, v string")
+    tables.write_report(good, path)
+    with pytest.raises(Exception, match="no number"):
+        tables.write_report(good.select(F.lit("no number").cast("int").alias("n") + F.length("v")), path)
+    back = lambda: [tuple(r) for r in spark.read.option("header", True).csv(path).collect()]
+    assert back() == [("1", "a")]
+    tables.write_report(good.union(good), path)
+    assert back() == [("1", "a")] * 2 and [f.name for f in (tmp_path / "reports").iterdir()] == ["r"]
+
+
 def test_merge_rewrites_only_days_that_hold_a_key(spark, tmp_path):
     path = str(tmp_path / "t")
     table(spark, path, [(k, "old", str(k % 4)) for k in range(12)])
