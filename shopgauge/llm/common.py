@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import wraps
 from math import ceil
 
@@ -45,27 +47,45 @@ def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
-#: Paths of the tables that ``store`` has written.
-KEPT: list[str] = []
+class Stored:
+    """Paths of the tables that one caller has stored, so that it can delete them and no others."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def release(self, spark: SparkSession) -> None:
+        """Delete the tables; only when every result that reads them has been written."""
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        while self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(conf).delete(path, True)
+
+
+#: Whose tables are being stored in this thread, if anybody wants to know.
+OWNER: ContextVar[Stored | None] = ContextVar("owner", default=None)
+
+
+@contextmanager
+def owned(by: Stored) -> Iterator[Stored]:
+    """Tables stored inside belong to ``by``."""
+    before = OWNER.set(by)
+    try:
+        yield by
+    finally:
+        OWNER.reset(before)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as a Parquet table in the shared folder and read it back; see ``release``."""
+    """Write ``df`` once as a Parquet table in the shared folder and read it back; see ``owned``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    owner = OWNER.get()
+    if owner is not None:
+        owner.paths.append(path)
     df.write.parquet(path)
-    KEPT.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, paths: list[str]) -> None:
-    """Delete stored tables, for callers that have written every result that still reads them."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while paths:
-        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
-        path.getFileSystem(conf).delete(path, True)
-
-
 def collect_garbage(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to, between rounds of a long operator."""
     gc.collect()

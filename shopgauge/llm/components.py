@@ -28,9 +28,10 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         turned = store(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
-        # done when nothing has changed: each node has one link, to a node that has none
-        again = turned.join(turned.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
-        if again and turned.groupBy("u").count().where("count > 1").isEmpty():
+        # done when each node has one link, to a node that has none
+        ends = turned.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("own")), F.struct(F.col("v").alias("node"), F.lit(0).alias("own")))).alias("e"))
+        own = ends.groupBy("e.node").agg(F.sum("e.own").alias("links"), F.count_if(F.col("e.own") == 0).alias("ends"))
+        if own.where("links > 1 or (links = 1 and ends > 0)").isEmpty():
             break
         pairs = turned
     tops = turned.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

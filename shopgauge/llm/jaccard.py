@@ -15,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgauge.llm.common import KEPT, collect_garbage, release, slices, store
+from shopgauge.llm.common import Stored, collect_garbage, owned, slices, store
 from shopgauge.llm.components import components
 
 #: Words in a shingle, and the similarity from which documents are linked, in hundredths.
@@ -29,6 +30,8 @@ GROWTH = 1.35
 PARTS = 3
 #: Times the number of shuffle partitions into which signatures are dealt.
 DEALT = 2
+#: Sets in a piece when what is left is compared.
+TILE = 1024
 #: Entries of one signature in a batch from which they skip the shuffle.
 HOT = 16
 
@@ -145,12 +148,18 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found), np.concatenate(owner)
 
 
-SETS = "doc_id long, n long, k1 long, k2 long"
-MADE = "bucket long, " + SETS
+MADE = "bucket long, row long, doc_id long, n long, k1 long, k2 long"
+
+
+def bucket_of(sign: np.ndarray, group: np.ndarray | int) -> np.ndarray:
+    """One number for a signature, from the 48 bits that travel and the group that it was dealt to."""
+    return mix(sign ^ mix(np.atleast_1d(np.asarray(group, np.int64)).astype(U) + U(0x9E3779B97F4A7C15)))
 
 
 def survey(docs: DataFrame, groups: int) -> DataFrame:
-    """Rows of two kinds: each document's set size and digest (bucket null), and each member of a shared signature.
+    """Rows of two kinds: each row's number, id, set size and digest (bucket null), and each member of a shared signature, by row.
+
+    ``docs``: ``row, doc_id, text``, where ``row`` tells rows of one id apart.
 
     Signatures of a batch travel packed, eight bytes each: 48 bits of the
     signature and the document's place in the batch. Where one signature is
@@ -161,10 +170,11 @@ def survey(docs: DataFrame, groups: int) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 4096, 16_000_000):
-            ids = np.array(part.column("doc_id").to_pylist(), np.int64)
+            ids = np.array(part.column("row").to_pylist(), np.int64)
+            docs_ = np.array(part.column("doc_id").to_pylist(), np.int64)
             sets = [shingles(t) for t in part.column("text").to_pylist()]
             digests = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets]
-            info = np.column_stack([ids, [len(x) for x in sets], np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)])
+            info = np.column_stack([ids, docs_, [len(x) for x in sets], np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)])
             rows: list[tuple[int, bytes, bytes]] = [(int(ids[0]) % groups, info.astype(np.int64).tobytes(), b"")]
             # copies within a batch have the same signatures; one speaks for them
             first = dict(zip(reversed(digests), reversed(range(len(sets))), strict=True))
@@ -175,12 +185,12 @@ def survey(docs: DataFrame, groups: int) -> DataFrame:
             entry = (found >> U(16) << U(16)) | owner.astype(U)
             order = np.lexsort((entry, group))
             group, entry = group[order], entry[order]
-            sign = (entry >> U(16)) | (group.astype(U) << U(48))
-            begins = np.flatnonzero(np.concatenate(([True], sign[1:] != sign[:-1]))) if len(sign) else np.zeros(0, np.int64)
+            sign = entry >> U(16)
+            begins = np.flatnonzero(np.concatenate(([True], (sign[1:] != sign[:-1]) | (group[1:] != group[:-1])))) if len(sign) else np.zeros(0, np.int64)
             many = np.diff(np.concatenate((begins, [len(sign)])))
             hot = np.repeat(many >= HOT, many)
             if hot.any():
-                members = np.column_stack([sign[hot].astype(np.int64), ids[(entry[hot] & U(0xFFFF)).astype(np.int64)]])
+                members = np.column_stack([bucket_of(sign[hot], group[hot]).astype(np.int64), ids[(entry[hot] & U(0xFFFF)).astype(np.int64)]])
                 rows.append((int(ids[-1]) % groups, b"", members.tobytes()))
             stays = ~hot
             stays[begins] = True
@@ -198,7 +208,7 @@ def survey(docs: DataFrame, groups: int) -> DataFrame:
         info, members, signs, docs_ = [], [], [], []
         for ids, packed in zip(rows.column("ids").to_pylist(), rows.column("signs").to_pylist(), strict=True):
             if not packed:
-                info.append(np.frombuffer(ids, np.int64).reshape(-1, 4))
+                info.append(np.frombuffer(ids, np.int64).reshape(-1, 5))
             elif not ids:
                 members.append(np.frombuffer(packed, np.int64).reshape(-1, 2))
             else:
@@ -211,14 +221,13 @@ def survey(docs: DataFrame, groups: int) -> DataFrame:
             sign, doc = sign[order], doc[order]
             same = sign[1:] == sign[:-1]
             shared = np.concatenate((same, [False])) | np.concatenate(([False], same))
-            bucket = sign[shared] | (U(part) << U(48))
-            members.append(np.column_stack([bucket.astype(np.int64), doc[shared]]))
-        i = np.concatenate(info) if info else np.zeros((0, 4), np.int64)
+            members.append(np.column_stack([bucket_of(sign[shared], part).astype(np.int64), doc[shared]]))
+        i = np.concatenate(info) if info else np.zeros((0, 5), np.int64)
         m = np.concatenate(members) if members else np.zeros((0, 2), np.int64)
         no = pa.nulls(len(m), pa.int64())
-        columns = [pa.nulls(len(i), pa.int64()), *(pa.array(i[:, k]) for k in range(4))]
-        more = [pa.array(m[:, 0]), pa.array(m[:, 1]), no, no, no]
-        names = ["bucket", "doc_id", "n", "k1", "k2"]
+        columns = [pa.nulls(len(i), pa.int64()), *(pa.array(i[:, k]) for k in range(5))]
+        more = [pa.array(m[:, 0]), pa.array(m[:, 1]), no, no, no, no]
+        names = ["bucket", "row", "doc_id", "n", "k1", "k2"]
         return pa.concat_tables([pa.Table.from_arrays(columns, names), pa.Table.from_arrays(more, names)])
 
     packed = docs.mapInArrow(pack, "part long, ids binary, signs binary")
@@ -239,17 +248,24 @@ def sketch(found: np.ndarray) -> np.ndarray:
 SET = "node long, shingles array<long>, bits array<long>"
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """``node, shingles`` (sorted hashes), ``bits`` (parities)."""
+def sets_of(texts: DataFrame) -> DataFrame:
+    """``node, shingles`` (sorted hashes), ``bits`` (parities) of ``node, k1, k2, text``.
+
+    An id may have several texts: only that with the digest ``k1, k2`` counts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = pa.list_(pa.int64())
         for part in slices(batches, 1024, 4_000_000):
             sets = [shingles(t) for t in part.column("text").to_pylist()]
-            columns = [part.column("doc_id"), pa.array([x.view(np.int64) for x in sets], longs), pa.array([sketch(x) for x in sets], longs)]
+            wanted = zip(*(part.column(c).to_pylist() for c in ("k1", "k2")), strict=True)
+            own = [tuple(np.frombuffer(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), np.int64).tolist()) for x in sets]
+            same = [k for k, (x, y) in enumerate(zip(own, wanted, strict=True)) if x == y]
+            sets = [sets[k] for k in same]
+            columns = [part.column("node").take(pa.array(same, pa.int64())), pa.array([x.view(np.int64) for x in sets], longs), pa.array([sketch(x) for x in sets], longs)]
             yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "bits"])
 
-    return docs.mapInArrow(run, SET)
+    return texts.mapInArrow(run, SET)
 
 
 def may_link(x: str, y: str) -> Column:
@@ -295,23 +311,26 @@ def near_duplicates(docs: DataFrame, rounds: int = 2) -> DataFrame:
     spark = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = own.where("doc_id is not null")
-    groups = min(32_768, DEALT * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    made = store(survey(named, groups), "jaccard-survey")
-    info = made.where("bucket is null").select("doc_id", "n", "k1", "k2")
-    classes = info.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
-    of_class = info.where("n > 0").join(classes, ["n", "k1", "k2"]).select("doc_id", "rep", "n").distinct()
-    of_class = store(of_class, "jaccard-classes")
-    members = made.where("bucket is not null").select("bucket", "doc_id").join(of_class, "doc_id").select("bucket", F.col("rep").alias("node"), "n")
-    members = members.distinct()
-    links = candidates(named, store(members, "jaccard-members"), rounds)
-    copies = of_class.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = components(links.unionByName(copies))
-    sizes = info.select("doc_id", "n")
-    rest = own.where("doc_id is null").select("doc_id", "text")
-    named_rows = sizes.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+    groups = DEALT * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made = store(survey(named.withColumn("row", F.monotonically_increasing_id()), groups), "jaccard-survey")
+    info = made.where("bucket is null").select("row", "doc_id", "n", "k1", "k2")
+    filled = info.where("n > 0")
+    classes = filled.groupBy("n", "k1", "k2").agg(F.min("row").alias("node"), F.min("doc_id").alias("rep"))
+    classes = store(classes, "jaccard-classes")
+    rows = store(filled.join(classes, ["n", "k1", "k2"]).select("row", "doc_id", "n", "node", "rep"), "jaccard-rows")
+    members = made.where("bucket is not null").select("bucket", "row").join(rows.select("row", "node", "n"), "row").select("bucket", "node", "n")
+    links = candidates(named, classes, store(members.distinct(), "jaccard-members"), rounds)
+    a, b = classes.select(F.col("node").alias("a"), F.col("rep").alias("x")), classes.select(F.col("node").alias("b"), F.col("rep").alias("y"))
+    edges = links.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    # the classes of one id are linked through it
+    ids = rows.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("doc_id", "a")
+    found = components(edges.unionByName(rows.join(ids, "doc_id").select("a", F.col("rep").alias("b"))))
+    linked_rows = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")
     )
-    return named_rows.unionByName(without_id(rest))
+    empty = info.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    rest = own.where("doc_id is null").select("doc_id", "text")
+    return linked_rows.unionByName(empty).unionByName(without_id(rest))
 
 
 def without_id(rows: DataFrame) -> DataFrame:
@@ -324,21 +343,22 @@ def without_id(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, component_id long")
 
 
-def candidates(docs: DataFrame, members: DataFrame, rounds: int) -> DataFrame:
-    """Links ``a, b`` between classes, enough of them to join all that are linked.
+def candidates(docs: DataFrame, classes: DataFrame, members: DataFrame, rounds: int) -> DataFrame:
+    """Links ``a, b`` between classes (by ``node``), enough of them to join all that are linked.
 
     ``members``: ``bucket, node, n``. In the first rounds each bucket's members
     are compared with one of them, another one each time, so a large group of
     copies costs one comparison for each member. Links join components, and
-    buckets of one component are done. In what is left, all members of
-    different components are compared. Parities rule out most pairs inside
-    the join, and what passes is counted exactly.
+    buckets of one component are done. What is left is compared by ``across``.
+    Parities rule out most pairs inside the join, and what passes is counted
+    exactly.
     """
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     open_ = store(members.join(shared, "bucket", "left_semi"), "jaccard-open")
-    wanted = open_.select(F.col("node").alias("doc_id")).distinct()
-    # one text for each id; the join has brought them together already
-    texts = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    wanted = classes.join(open_.select("node").distinct(), "node", "left_semi")
+    texts = docs.join(wanted.select("node", "k1", "k2", F.col("rep").alias("doc_id")), "doc_id")
+    # rows that repeat an id and a text count once; the join has brought them together already
+    texts = texts.withColumn("digest", F.xxhash64("text")).dropDuplicates(["doc_id", "node", "digest"]).select("node", "k1", "k2", "text")
     sets = store(sets_of(texts), "jaccard-sets")
     narrow = sets.select("node", F.size("shingles").alias("n"), "bits")
     open_ = open_.withColumn("component", F.col("node"))
@@ -352,22 +372,105 @@ def candidates(docs: DataFrame, members: DataFrame, rounds: int) -> DataFrame:
             x, y = narrow.withColumnRenamed("node", "a").alias("x"), narrow.withColumnRenamed("node", "b").alias("y")
             pairs = pairs.join(x, "a").join(y, "b").where(may_link("x", "y")).select("a", "b")
         else:
-            rows = store(open_.join(narrow, "node").select("bucket", "node", "component", narrow["n"], "bits"), "jaccard-rows")
-            x, y = rows.alias("x"), rows.alias("y")
-            across = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-            same = F.col("x.bucket") == F.col("y.bucket")
-            pairs = x.join(y, same & across & may_link("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+            pairs = across(open_, narrow)
         found = store(linked(store(pairs, "jaccard-pairs"), sets), "jaccard-links")
         links = found if links is None else links.unionByName(found)
         if turn < rounds:
-            done = len(KEPT)
-            joined = components(links)
+            # the components aren't read again
+            with owned(Stored()) as passing:
+                joined = components(links)
             open_ = open_.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
             several = open_.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
             open_ = store(open_.join(several, "bucket", "left_semi").select("bucket", "node", "component"), "jaccard-open")
-            # the components aren't read again; with the plans go their shuffle files
-            finished = KEPT[done:-1]
-            del KEPT[done:-1], joined, several
-            release(docs.sparkSession, finished)
+            # with the plans go their shuffle files
+            del joined, several
+            passing.release(docs.sparkSession)
             collect_garbage(docs.sparkSession)
     return links
+
+
+def across(open_: DataFrame, narrow: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that may be linked, once each, of different components in what open buckets connect.
+
+    Near copies share most of their buckets, so a join by bucket would give
+    each pair as often. Buckets with a member in common are joined into one
+    group instead, and the members outside the largest component of a group
+    are compared with all of it, piece by piece.
+    """
+    low = open_.groupBy("bucket").agg(F.min("node").alias("a"))
+    joined = components(open_.join(low, "bucket").select("a", F.col("node").alias("b")).distinct())
+    rows = open_.select("node", "component").distinct().join(joined.withColumnRenamed("component", "part"), "node").join(narrow, "node")
+    rows = store(rows, "jaccard-rows")
+    largest = rows.groupBy("part", "component").count().groupBy("part").agg(
+        F.max_by("component", F.struct("count", "component")).alias("largest"), F.sum("count").alias("size"), F.max("count").alias("inside")
+    )
+    named = rows.join(largest, "part").withColumn("outside", F.col("component") != F.col("largest"))
+    named = store(named, "jaccard-parts").where("size > inside")
+    # pieces of those outside meet pieces of all; a piece holds about TILE
+    place = lambda column: F.pmod(F.xxhash64("node"), F.ceil(F.col(column) / TILE)).cast("int")
+    every = lambda column: F.explode(F.sequence(F.lit(0), (F.ceil(F.col(column) / TILE) - 1).cast("int")))
+    both = named.withColumn("rest", F.col("size") - F.col("inside"))
+    left = both.where("outside").select("part", "node", "n", "bits", "component", "outside", place("rest").alias("i"), every("size").alias("j"), F.lit(True).alias("left"))
+    right = both.select("part", "node", "n", "bits", "component", "outside", every("rest").alias("i"), place("size").alias("j"), F.lit(False).alias("left"))
+    keys = ["part", "i", "j"]
+    dealt = left.unionByName(right).repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(tiles_met, "a long, b long")
+
+
+def tiles_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that may be linked of each tile: rows of ``left`` against the others. Tiles come one after the other."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        starts = tile_starts(held)
+        if len(starts) > 1:
+            yield from met(held.slice(0, int(starts[-1])), starts[:-1])
+            held = held.slice(int(starts[-1]))
+    if held is not None and len(held):
+        yield from met(held, tile_starts(held))
+
+
+def tile_starts(rows: pa.Table) -> np.ndarray:
+    keys = [rows.column(c).to_numpy() for c in ("part", "i", "j")]
+    return np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in keys], axis=0)))) if len(rows) else np.zeros(0, np.int64)
+
+
+def met(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    node, n, component = (rows.column(c).to_numpy() for c in ("node", "n", "component"))
+    left, outside = (np.array(rows.column(c).to_pylist(), bool) for c in ("left", "outside"))
+    bits = rows.column("bits").combine_chunks()
+    size = pc.list_value_length(bits).to_numpy().astype(np.int64)
+    begin, flat = np.cumsum(size) - size, bits.flatten().to_numpy().view(U)
+    for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(node)], strict=True):
+        x, y = low + np.flatnonzero(left[low:high]), low + np.flatnonzero(~left[low:high])
+        for some in np.array_split(x, len(x) * len(y) // 250_000 + 1):
+            near = 100 * np.minimum.outer(n[some], n[y]) >= SIMILAR * np.maximum.outer(n[some], n[y])
+            # two members that are both outside meet twice; the second time doesn't count
+            near &= (component[some][:, None] != component[y][None, :]) & (~outside[y][None, :] | (node[some][:, None] < node[y][None, :]))
+            at, to = np.nonzero(near)
+            pairs = np.column_stack([some[at], y[to]])
+            pairs = pairs[~unlike(pairs, n, begin, size, flat)]
+            if len(pairs):
+                ends = np.sort(node[pairs], axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+
+
+def unlike(pairs: np.ndarray, n: np.ndarray, begin: np.ndarray, size: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """Which pairs can't be linked, since more parities differ than shingles of a linked pair may; never a linked one.
+
+    Parities of row ``i`` are ``flat[begin[i]:][:size[i]]``; sizes are powers of two, and the wider are folded.
+    """
+    apart = np.zeros(len(pairs), np.int64)
+    widths = size[pairs]
+    for a, b in np.unique(widths, axis=0):
+        chosen = np.flatnonzero((widths == (a, b)).all(axis=1))
+        for some in np.array_split(chosen, len(chosen) * int(max(a, b)) // 1_000_000 + 1):
+            x, y = (flat[begin[pairs[some, side]][:, None] + np.arange(width)[None, :]] for side, width in ((0, a), (1, b)))
+            while x.shape[1] != y.shape[1]:
+                if x.shape[1] < y.shape[1]:
+                    x, y = y, x
+                half = x.shape[1] // 2
+                x = x[:, :half] ^ x[:, half:]
+            apart[some] = np.bitwise_count(x ^ y).sum(axis=1)
+    return (100 + SIMILAR) * apart > (100 - SIMILAR) * n[pairs].sum(axis=1)
