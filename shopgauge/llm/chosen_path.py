@@ -17,12 +17,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopgauge.llm.common import slices, store
 from shopgauge.llm.components import components
-from shopgauge.llm.jaccard import mix, word_hashes
+from shopgauge.llm.jaccard import across, mix, sketch, unlike, word_hashes
 
 #: Words in a shingle, and the similarity from which documents are linked, in hundredths.
 WORDS, SIMILAR = 2, 80
@@ -73,7 +74,7 @@ def digest(found: np.ndarray) -> bytes:
 
 
 def survey(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, k1, k2, tokens`` of every row: set size, digest of the set, minwise tokens (null if the set is empty)."""
+    """``doc_id, n, k1, k2, tokens, bits`` of every row: set size, digest of the set, minwise tokens (null if the set is empty), parities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 2048, 8_000_000):
@@ -82,6 +83,7 @@ def survey(docs: DataFrame) -> DataFrame:
             sets = [shingles(t) for t in made]
             keys = np.frombuffer(b"".join(map(digest, sets)), np.int64).reshape(-1, 2)
             filled = [k for k, s in enumerate(sets) if len(s)]
+            bits = [sketch(x) for x in sets]
             own: list = [None] * len(sets)
             for k, row in zip(filled, tokens([sets[k] for k in filled]), strict=True):
                 own[k] = row
@@ -91,10 +93,11 @@ def survey(docs: DataFrame) -> DataFrame:
                 pa.array(keys[at, 0]),
                 pa.array(keys[at, 1]),
                 pa.array([own[k] for k in at], pa.list_(pa.int16())),
+                pa.array([bits[k] for k in at], pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "k1", "k2", "tokens"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "k1", "k2", "tokens", "bits"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, tokens array<short>")
+    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, tokens array<short>, bits array<long>")
 
 
 def children(path: Column, tokens_: Column) -> Column:
@@ -104,15 +107,15 @@ def children(path: Column, tokens_: Column) -> Column:
     return F.array(*(F.xxhash64(path, i, F.get(tokens_, i)) for i in (first, other)))
 
 
-def grow(members: DataFrame, tree: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """The small nodes and the dense nodes of a tree, as ``path, node, n, tokens, component, size``; None if there are none.
+def grow(members: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """The small nodes and the dense nodes of some trees, as ``path, node, n, tokens, component, size``; None if there are none.
 
-    ``members``: ``node, n, tokens, component``. Nodes of a single component
+    ``members``: ``tree, node, n, tokens, component``. Nodes of a single component
     have nothing to find and end. Sizes come from a count of their own, so a
     large node is never gathered in a task.
     """
-    root = F.lit(tree).cast("long")
-    rows = members.withColumn("path", F.explode(children(root, F.col("tokens")))).withColumn("parent", F.lit(1 << 62))
+    roots = members.withColumn("path", F.explode(children(F.col("tree"), F.col("tokens")))).drop("tree")
+    rows = roots.withColumn("parent", F.lit(1 << 62))
     small, dense = [], []
     for depth in range(DEEPEST):
         mixed = rows.groupBy("path").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
@@ -175,7 +178,8 @@ FOUND = "kind int, path long, piece int, a long, b long, n long, tokens array<sh
 def compare(groups: DataFrame, every: bool) -> DataFrame:
     """All pairs of each group (``path``, ``piece``) compared by their tokens; see ``FOUND``.
 
-    With ``every``, all passing pairs of different components are given. Else
+    With ``every``, all pairs of different components are given that pass and whose
+    parities (``bits``) don't rule them out. Else
     only as many as join the same members (``PAIR``, ``a`` and ``b``), the members of groups
     in which more pairs pass (``LIVE``), and of each piece the member with
     most partners (``HUB``, ``b`` their share in millionths), so what is given grows with the members.
@@ -200,6 +204,10 @@ def compare(groups: DataFrame, every: bool) -> DataFrame:
         path, piece, node, n, component = (rows.column(c).to_numpy() for c in ("path", "piece", "node", "n", "component"))
         own = rows.column("tokens").combine_chunks().flatten().to_numpy().reshape(-1, FUNCTIONS)
         starts = np.flatnonzero(np.concatenate(([True], (path[1:] != path[:-1]) | (piece[1:] != piece[:-1]))))
+        if every:
+            bits = rows.column("bits").combine_chunks()
+            width = pc.list_value_length(bits).to_numpy().astype(np.int64)
+            begin, flat = np.cumsum(width) - width, bits.flatten().to_numpy().view(U)
         out: list[tuple] = []
         for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(path)], strict=True):
             if high - low < 2:
@@ -211,7 +219,9 @@ def compare(groups: DataFrame, every: bool) -> DataFrame:
                 continue
             here = (int(path[low]), int(piece[low]))
             if every:
-                out.extend((PAIR, *here, int(node[low + v]), int(node[low + w]), None, None) for v, w in np.argwhere(np.triu(may)).tolist())
+                both = np.argwhere(np.triu(may)) + low
+                both = both[~unlike(both, n, begin, width, flat)]
+                out.extend((PAIR, *here, int(node[v]), int(node[w]), None, None) for v, w in both.tolist())
                 continue
             pairs, hub = spanning(may)
             out.extend((PAIR, *here, int(node[low + v]), int(node[low + w]), None, None) for v, w in pairs)
@@ -224,18 +234,10 @@ def compare(groups: DataFrame, every: bool) -> DataFrame:
             names = ["kind", "path", "piece", "a", "b", "n", "tokens"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    keyed = groups.select("path", "piece", "node", "n", "tokens", "component")
+    keyed = groups.select("path", "piece", "node", "n", "tokens", "component", *(["bits"] if every else []))
     return keyed.repartition("path", "piece").sortWithinPartitions("path", "piece").mapInArrow(run, FOUND)
 
 
-def may_pass(x: str, y: str) -> Column:
-    """``passing``, of two rows of a join."""
-    col = lambda of, name: F.col(f"{of}.{name}")
-    n, m = col(x, "n"), col(y, "n")
-    agreed = F.aggregate(F.zip_with(col(x, "tokens"), col(y, "tokens"), lambda a, b: (a == b).cast("int")), F.lit(0), lambda t, v: t + v)
-    return (col(x, "component") != col(y, "component")) & (F.greatest(n, m) * SIMILAR <= F.least(n, m) * 100) & (agreed >= AGREED)
-
-
 def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
@@ -244,7 +246,7 @@ class Confirmed:
     """Confirms pairs on the full sets, which it makes once for each class of equal sets that is asked for."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame):
-        self.docs, self.classes = docs, classes
+        self.docs, self.classes = docs, classes.select("node", "rep", "k1", "k2")
         self.sets: DataFrame | None = None
 
     def _make(self, wanted: DataFrame) -> None:
@@ -300,10 +302,15 @@ def links_of(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
             links.append(more)
         return more is not None
 
+    def members(trees: list[int]) -> DataFrame:
+        own = [F.struct(F.lit(t).cast("long").alias("tree"), F.slice("tokens", t * FUNCTIONS + 1, FUNCTIONS).alias("tokens")) for t in trees]
+        return classes.select("node", "n", F.explode(F.array(*own)).alias("own")).select("own.tree", "node", "n", "own.tokens")
+
     found = None
-    for tree in range(TREES):
-        own = classes.select("node", "n", F.slice("tokens", tree * FUNCTIONS + 1, FUNCTIONS).alias("tokens"))
-        small, dense = grow(labelled(own, found), tree)
+    lives, denses = [], []
+    # the first tree joins most of what is alike, so that the others end early
+    for trees in ([0], list(range(1, TREES))):
+        small, dense = grow(labelled(members(trees), found))
         groups = []
         if small is not None:
             groups.append(small.withColumn("piece", F.lit(0)))
@@ -311,22 +318,29 @@ def links_of(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
             pieces = F.ceil(F.col("size") / SMALL)
             groups.append(dense.withColumn("piece", F.pmod(F.xxhash64("node", "path"), pieces).cast("int")))
         if not groups:
-            break
+            continue
         seen = store(compare(joined(groups), every=False), "paths-compared")
         pairs = seen.where(F.col("kind") == PAIR).select("a", "b")
+        lives.append(seen.where(F.col("kind") == LIVE).select("path", "piece", F.col("a").alias("node"), "n", "tokens"))
         if dense is not None:  # all of a dense node against the one that had most partners in its piece
             hubs = seen.where(F.col("kind") == HUB).groupBy("path").agg(F.max_by("a", F.struct("b", "a")).alias("hub"))
             star = dense.join(hubs, "path").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
             pairs = pairs.unionByName(star)
+            denses.append(dense.drop("component"))
         if add(pairs):
             found = known()
-        # what is left: pairs that pass, of members whom the links so far haven't joined
-        live = seen.where(F.col("kind") == LIVE).select("path", "piece", F.col("a").alias("node"), "n", "tokens")
-        left = compare(several(labelled(live, found), ["path", "piece"]), every=True).select("a", "b")
-        if dense is not None:
-            left = left.unionByName(across(several(labelled(dense.drop("component"), found), ["path"])))
-        if add(left):
-            found = known()
+    # what is left: pairs that pass, of members whom the links so far haven't joined
+    left = []
+    bits = classes.select("node", "bits")
+    if lives:
+        open_ = several(labelled(joined(lives), found), ["path", "piece"])
+        left.append(compare(open_.join(bits, "node"), every=True).select("a", "b"))
+    if denses:
+        # each pair once, though near copies share most of their nodes
+        open_ = several(labelled(joined(denses), found), ["path"]).select(F.col("path").alias("bucket"), "node", "component")
+        left.append(across(open_, classes.select("node", "n", "bits")))
+    if left:
+        add(joined(left))
     return joined(links)
 
 
@@ -336,14 +350,6 @@ def several(rows: DataFrame, group: list[str]) -> DataFrame:
     return rows.join(open_.select(*group), group, "left_semi")
 
 
-def across(dense: DataFrame) -> DataFrame:
-    """Passing pairs of dense nodes of which one is not of the node's largest component."""
-    dense = store(dense, "paths-dense")
-    largest = dense.groupBy("path", "component").count().groupBy("path").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
-    minor = dense.join(largest, "path").where("component <> largest").alias("x")
-    return minor.join(dense.alias("y"), F.col("x.path") == F.col("y.path")).where(may_pass("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row.
 
@@ -362,7 +368,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = own.where("doc_id is not null")
     info = store(survey(own), "paths-survey")
     filled = info.where("n > 0 and doc_id is not null")
-    classes = filled.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"))
+    classes = filled.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
     classes = store(classes.withColumn("node", F.monotonically_increasing_id()), "paths-classes")
     links = links_of(classes, named)
     reps = classes.select("node", "rep")

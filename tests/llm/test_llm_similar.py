@@ -231,6 +231,23 @@ def test_spanning_pairs_join_what_passing_pairs_join():
         assert (a == b).all()
 
 
+def test_parities_never_rule_out_a_linked_pair():
+    rng = np.random.default_rng(9)
+    sets = []
+    for n in (3, 30, 60, 64, 66, 130, 250, 270):
+        base = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        sets += [np.unique(np.concatenate([base[: n - k], rng.integers(0, 1 << 62, k).astype(np.uint64)])) for k in range(0, n // 3, 1 + n // 40)]
+    bits = [chosen_path.sketch(s) for s in sets]
+    size = np.array([len(b) for b in bits])
+    begin, flat, n = np.cumsum(size) - size, np.concatenate(bits).view(np.uint64), np.array([len(s) for s in sets])
+    pairs = np.array([(a, b) for a in range(len(sets)) for b in range(len(sets)) if a != b])
+    ruled = chosen_path.unlike(pairs, n, begin, size, flat)
+    for (a, b), out in zip(pairs.tolist(), ruled.tolist(), strict=True):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        assert not (out and 100 * both >= 80 * (n[a] + n[b] - both))
+    assert ruled.mean() > 0.7
+
+
 def test_chosen_path_of_an_empty_table(spark):
     empty = chosen_path.near_duplicates(spark.createDataFrame([], DOCS))
     assert empty.isEmpty() and empty.columns == ["doc_id", "n_shingles", "component_id", "kept"]
