@@ -3,19 +3,22 @@
 Each stage takes what the one before has kept, is written as Parquet and read
 again. All but the last return the columns of ``documents``. A stage may only be
 called when the rows of those before it are written, since it deletes the tables
-that they have stored for themselves.
+that they have stored for themselves in the same session; other sessions and
+threads keep theirs.
 """
 
 from __future__ import annotations
 
+import threading
 from functools import wraps
+from weakref import WeakKeyDictionary
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgauge.llm import bpe, decontaminate, jaccard, lines, quality
-from shopgauge.llm.common import KEPT, release, shipped, table
+from shopgauge.llm.common import WORD, Stored, owned, shipped, table
 from shopgauge.session import scratch_path
 
 
@@ -26,8 +29,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the stretches of lines that occur before; ``n_chars`` follows the text."""
-    found = lines.dedup(docs).select(docs.columns)
+    """Documents without the stretches of lines that occur before; ``n_chars`` follows the text.
+
+    One of which no word is left was a copy through and through, and goes.
+    """
+    found = lines.dedup(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(WORD)).select(docs.columns)
     return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else found
 
 
@@ -48,8 +54,8 @@ def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-#: What the stages called so far have stored for themselves.
-STORED: list[str] = []
+#: What the stages called so far have stored for themselves, by session and thread.
+STORED: WeakKeyDictionary[SparkSession, dict[int, Stored]] = WeakKeyDictionary()
 
 
 def stage(work):
@@ -57,12 +63,10 @@ def stage(work):
 
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release(spark, STORED)
-        before = len(KEPT)
-        rows = shipped(work)(spark, docs, sf_dir)
-        STORED.extend(KEPT[before:])
-        del KEPT[before:]
-        return rows
+        mine = STORED.setdefault(spark, {}).setdefault(threading.get_ident(), Stored())
+        mine.release(spark)
+        with owned(mine):
+            return shipped(work)(spark, docs, sf_dir)
 
     return run_stage
 
