@@ -32,6 +32,8 @@ PARTS = 3
 DEALT = 2
 #: Sets in a piece when what is left is compared.
 TILE = 1024
+#: Buckets of a member that are known where it is compared, so that a pair isn't given in each.
+FIRST = 32
 #: Entries of one signature in a batch from which they skip the shuffle.
 HOT = 16
 
@@ -350,11 +352,10 @@ def candidates(docs: DataFrame, classes: DataFrame, members: DataFrame, rounds:
     are compared with one of them, another one each time, so a large group of
     copies costs one comparison for each member. Links join components, and
     buckets of one component are done. What is left is compared by ``across``.
-    Parities rule out most pairs inside the join, and what passes is counted
+    Of buckets with the same members one is kept. Parities rule out most pairs inside the join, and what passes is counted
     exactly.
     """
-    shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    open_ = store(members.join(shared, "bucket", "left_semi"), "jaccard-open")
+    open_ = store(members.join(unlike_buckets(members), "bucket", "left_semi"), "jaccard-open")
     wanted = classes.join(open_.select("node").distinct(), "node", "left_semi")
     texts = docs.join(wanted.select("node", "k1", "k2", F.col("rep").alias("doc_id")), "doc_id")
     # rows that repeat an id and a text count once; the join has brought them together already
@@ -389,36 +390,47 @@ def candidates(docs: DataFrame, classes: DataFrame, members: DataFrame, rounds:
     return links
 
 
+def unlike_buckets(members: DataFrame) -> DataFrame:
+    """``bucket``: those with several members, and of those with the same members one, since near copies share most of theirs.
+
+    ``members`` are distinct. Two hashes of 64 bits, a count and both ends tell sets of them apart.
+    """
+    mixed = lambda salt: F.bit_xor(F.xxhash64(F.lit(salt), "node")).alias(f"h{salt}")
+    ends = [F.min("node").alias("low"), F.max("node").alias("high"), F.count("node").alias("size")]
+    sets = members.groupBy("bucket").agg(*ends, mixed(1), mixed(2)).where("low <> high")
+    return sets.groupBy("low", "high", "size", "h1", "h2").agg(F.min("bucket").alias("bucket")).select("bucket")
+
+
 def across(open_: DataFrame, narrow: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` that may be linked, once each, of different components in what open buckets connect.
+    """Pairs ``a, b`` that may be linked, of different components in one of the open buckets.
 
-    Near copies share most of their buckets, so a join by bucket would give
-    each pair as often. Buckets with a member in common are joined into one
-    group instead, and the members outside the largest component of a group
-    are compared with all of it, piece by piece.
+    ``open_``: ``bucket, node, component``. The members outside a bucket's
+    largest component are compared with all of it, piece by piece where it is
+    large. Members that meet in several buckets are compared in each, but given
+    in the first: rows carry the ``FIRST`` least of their member's buckets.
     """
-    low = open_.groupBy("bucket").agg(F.min("node").alias("a"))
-    joined = components(open_.join(low, "bucket").select("a", F.col("node").alias("b")).distinct())
-    rows = open_.select("node", "component").distinct().join(joined.withColumnRenamed("component", "part"), "node").join(narrow, "node")
-    rows = store(rows, "jaccard-rows")
-    largest = rows.groupBy("part", "component").count().groupBy("part").agg(
-        F.max_by("component", F.struct("count", "component")).alias("largest"), F.sum("count").alias("size"), F.max("count").alias("inside")
+    sizes = open_.groupBy("bucket", "component").count().groupBy("bucket").agg(
+        F.max_by("component", F.struct("count", "component")).alias("largest"), F.sum("count").alias("size"), (F.sum("count") - F.max("count")).alias("rest")
     )
-    named = rows.join(largest, "part").withColumn("outside", F.col("component") != F.col("largest"))
-    named = store(named, "jaccard-parts").where("size > inside")
+    rows = open_.join(sizes.where("rest > 0"), "bucket").withColumn("outside", F.col("component") != F.col("largest"))
     # pieces of those outside meet pieces of all; a piece holds about TILE
-    place = lambda column: F.pmod(F.xxhash64("node"), F.ceil(F.col(column) / TILE)).cast("int")
-    every = lambda column: F.explode(F.sequence(F.lit(0), (F.ceil(F.col(column) / TILE) - 1).cast("int")))
-    both = named.withColumn("rest", F.col("size") - F.col("inside"))
-    left = both.where("outside").select("part", "node", "n", "bits", "component", "outside", place("rest").alias("i"), every("size").alias("j"), F.lit(True).alias("left"))
-    right = both.select("part", "node", "n", "bits", "component", "outside", every("rest").alias("i"), place("size").alias("j"), F.lit(False).alias("left"))
-    keys = ["part", "i", "j"]
-    dealt = left.unionByName(right).repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(tiles_met, "a long, b long")
+    last = lambda column: (F.ceil(F.col(column) / TILE) - 1).cast("int")
+    place = lambda column: F.pmod(F.xxhash64("node"), last(column) + 1).cast("int")
+    tile = lambda i, j, left, right: F.struct(i.alias("i"), j.alias("j"), left.alias("left"), right.alias("right"))
+    yes, no = F.lit(True), F.lit(False)
+    lefts = F.transform(F.sequence(F.lit(0), F.when(F.col("outside"), last("size")).otherwise(0)), lambda j: tile(place("rest"), j, F.col("outside"), no))
+    rights = F.transform(F.sequence(F.lit(0), last("rest")), lambda i: tile(i, place("size"), no, yes))
+    whole = F.array(tile(F.lit(0), F.lit(0), F.col("outside"), yes))
+    tiles = F.when(F.col("size") <= TILE, whole).otherwise(F.filter(F.concat(lefts, rights), lambda t: t["left"] | t["right"]))
+    firsts = open_.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("bucket")), 1, FIRST).alias("firsts"))
+    dealt = rows.select("bucket", "node", "component", "outside", F.explode(tiles).alias("t")).join(narrow.join(firsts, "node"), "node")
+    keys = ["bucket", "i", "j"]
+    dealt = dealt.select("bucket", "t.i", "t.j", "t.left", "t.right", "node", "component", "outside", "n", "bits", "firsts")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tiles_met, "a long, b long").distinct()
 
 
 def tiles_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that may be linked of each tile: rows of ``left`` against the others. Tiles come one after the other."""
+    """Pairs that may be linked of each tile: rows of ``left`` against those of ``right``. Tiles come one after the other."""
     held: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -432,28 +444,58 @@ def tiles_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def tile_starts(rows: pa.Table) -> np.ndarray:
-    keys = [rows.column(c).to_numpy() for c in ("part", "i", "j")]
+    keys = [rows.column(c).to_numpy() for c in ("bucket", "i", "j")]
     return np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in keys], axis=0)))) if len(rows) else np.zeros(0, np.int64)
 
 
 def met(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
     node, n, component = (rows.column(c).to_numpy() for c in ("node", "n", "component"))
-    left, outside = (np.array(rows.column(c).to_pylist(), bool) for c in ("left", "outside"))
+    left, right, outside = (rows.column(c).to_numpy().astype(bool) for c in ("left", "right", "outside"))
     bits = rows.column("bits").combine_chunks()
     size = pc.list_value_length(bits).to_numpy().astype(np.int64)
     begin, flat = np.cumsum(size) - size, bits.flatten().to_numpy().view(U)
-    for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(node)], strict=True):
-        x, y = low + np.flatnonzero(left[low:high]), low + np.flatnonzero(~left[low:high])
-        for some in np.array_split(x, len(x) * len(y) // 250_000 + 1):
-            near = 100 * np.minimum.outer(n[some], n[y]) >= SIMILAR * np.maximum.outer(n[some], n[y])
-            # two members that are both outside meet twice; the second time doesn't count
-            near &= (component[some][:, None] != component[y][None, :]) & (~outside[y][None, :] | (node[some][:, None] < node[y][None, :]))
-            at, to = np.nonzero(near)
-            pairs = np.column_stack([some[at], y[to]])
-            pairs = pairs[~unlike(pairs, n, begin, size, flat)]
-            if len(pairs):
-                ends = np.sort(node[pairs], axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+    bucket, firsts = rows.column("bucket").to_numpy(), rows.column("firsts").combine_chunks()
+    ends = np.concatenate((starts[1:], [len(node)]))
+    x, y = np.flatnonzero(left), np.flatnonzero(right)
+    tile = np.searchsorted(starts, x, side="right") - 1
+    # each row of x meets the rows y[first : first + many] of its tile
+    first = np.searchsorted(y, starts)[tile]
+    many = np.searchsorted(y, ends)[tile] - first
+    upto = np.cumsum(many)
+    cuts = np.searchsorted(upto, np.arange(250_000, int(upto[-1]) if len(upto) else 0, 250_000))
+    for some in np.split(np.arange(len(x)), np.unique(cuts)):
+        if not len(some):
+            continue
+        met_ = many[some]
+        at = np.repeat(x[some], met_)
+        to = y[np.arange(len(at)) + np.repeat(first[some] - (np.cumsum(met_) - met_), met_)]
+        near = 100 * np.minimum(n[at], n[to]) >= SIMILAR * np.maximum(n[at], n[to])
+        # two members that are both outside meet twice; the second time doesn't count
+        near &= (component[at] != component[to]) & (~outside[to] | (node[at] < node[to]))
+        pairs = np.column_stack([at[near], to[near]])
+        pairs = pairs[~unlike(pairs, n, begin, size, flat)]
+        pairs = pairs[~met_before(pairs, bucket, firsts)]
+        if len(pairs):
+            both = np.unique(np.sort(node[pairs], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+
+def met_before(pairs: np.ndarray, bucket: np.ndarray, firsts: pa.ListArray) -> np.ndarray:
+    """Which pairs of rows share a bucket before this one, as far as ``firsts`` tell; they are given there."""
+    out = np.zeros(len(pairs), bool)
+    for k in range(0, len(pairs), 4096):
+        some = pairs[k : k + 4096]
+        x, y = (padded(firsts.take(pa.array(some[:, side]))) for side in (0, 1))
+        earlier = x < bucket[some[:, 0]][:, None]
+        out[k : k + 4096] = (earlier[:, :, None] & (x[:, :, None] == y[:, None, :])).any(axis=(1, 2))
+    return out
+
+
+def padded(lists: pa.ListArray) -> np.ndarray:
+    """Sorted lists, none empty, as rows of one length; the last value fills up."""
+    size = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    begin = np.cumsum(size) - size
+    return lists.flatten().to_numpy()[begin[:, None] + np.minimum(np.arange(size.max(initial=1))[None, :], size[:, None] - 1)]
 
 
 def unlike(pairs: np.ndarray, n: np.ndarray, begin: np.ndarray, size: np.ndarray, flat: np.ndarray) -> np.ndarray:

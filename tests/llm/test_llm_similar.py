@@ -8,11 +8,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from compare import connect, difference
-from shopgauge.llm import chosen_path, queries, search, whitening
+from shopgauge.llm import chosen_path, jaccard, queries, search, whitening
 
 SF = "/root/testdata/sf0.001"
 DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
@@ -251,3 +252,46 @@ def test_parities_never_rule_out_a_linked_pair():
 def test_chosen_path_of_an_empty_table(spark):
     empty = chosen_path.near_duplicates(spark.createDataFrame([], DOCS))
     assert empty.isEmpty() and empty.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+
+
+# what is left of a similarity join
+
+
+def open_buckets(spark, sets, component=None):
+    rows = [(b, v, (component or {}).get(v, v)) for b, s in sets.items() for v in s]
+    nodes = sorted({v for s in sets.values() for v in s})
+    narrow = spark.createDataFrame([(v, 10, [0]) for v in nodes], "node long, n long, bits array<long>")
+    return spark.createDataFrame(rows, "bucket long, node long, component long"), narrow
+
+
+def test_only_members_of_one_bucket_are_compared(spark):
+    """Buckets that make a chain don't make all of it meet."""
+    chain = {k: {k, k + 1} for k in range(40)}
+    open_, narrow = open_buckets(spark, chain)
+    found = sorted((r["a"], r["b"]) for r in jaccard.across(open_, narrow).collect())
+    assert found == [(k, k + 1) for k in range(40)]
+
+
+@pytest.mark.parametrize("tile", [4, 1024])
+def test_large_buckets_are_compared_whole_in_pieces(spark, monkeypatch, tile):
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    sets = {1: set(range(30)), 2: set(range(20, 33)), 3: {1, 2}, 4: {1, 2}}
+    component = {v: 100 for v in range(9)} | {v: 200 for v in range(25, 31)}
+    open_, narrow = open_buckets(spark, sets, component)
+    label = lambda v: component.get(v, v)
+    wanted = sorted({(v, w) for s in sets.values() for v in s for w in s if v < w and label(v) != label(w)})
+    assert sorted((r["a"], r["b"]) for r in jaccard.across(open_, narrow).collect()) == wanted
+
+
+def test_of_buckets_with_the_same_members_one_is_kept(spark):
+    sets = {1: {5, 6, 7}, 2: {5, 6, 7}, 3: {5, 7}, 4: {5, 8, 7}, 5: {9}, 6: {5, 7}}
+    open_, _ = open_buckets(spark, sets)
+    assert sorted(r["bucket"] for r in jaccard.unlike_buckets(open_).collect()) == [1, 3, 4]
+
+
+def test_a_pair_is_given_in_the_first_bucket_it_shares():
+    firsts = pa.array([[3, 5, 9], [5, 9], [9], [1, 9]], pa.list_(pa.int64()))
+    pairs = np.array([[0, 1], [1, 2], [0, 3], [1, 0]])
+    at = lambda b: jaccard.met_before(pairs, np.full(4, b), firsts).tolist()
+    assert at(9) == [True, False, False, True] and at(5) == [False] * 4
+    assert not len(jaccard.met_before(np.zeros((0, 2), np.int64), np.zeros(4, np.int64), firsts))
