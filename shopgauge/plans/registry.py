@@ -34,6 +34,11 @@ def _events(spark: SparkSession, sf_dir: str, event_name: str | None = None) ->
     return raw.raw_events(web_shards(spark, sf_dir, event_name))
 
 
+def _stored_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shards that are about to be stored, dealt over all cores: a task for each row group would sort and write few wide files one after the other."""
+    return web_shards(spark, sf_dir, spread=spark.sparkContext.defaultParallelism)
+
+
 def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.purchases(_events(spark, sf_dir, "purchase"))
 
@@ -159,7 +164,7 @@ def raw_purchase_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_reload_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both raw tables after the days that were absent or incomplete are reloaded."""
-    shards = web_shards(spark, sf_dir)
+    shards = _stored_shards(spark, sf_dir)
     earlier = _raw_copy(shards)
     events, items = scratch_path(spark, "raw_events"), scratch_path(spark, "raw_purchase_items")
     tables.create_if_absent(spark, events, RAW_EVENTS)
@@ -190,7 +195,7 @@ def one_day_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     read, fails and keeps its rows. Each day with its rows and its last load.
     """
     day = _day_of_month(SUFFIX)
-    shards = web_shards(spark, sf_dir)
+    shards = _stored_shards(spark, sf_dir)
     wh = job.Warehouse(spark, scratch_path(spark, "reload"))
     wh.ensure_raw()
     earlier = _raw_copy(shards)
@@ -210,7 +215,7 @@ def one_day_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def late_days_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored daily mart after late days were loaded, staged by their indexes and followed day by day."""
-    shards = web_shards(spark, sf_dir)
+    shards = _stored_shards(spark, sf_dir)
     earlier = _raw_copy(shards)
     wh = job.Warehouse(spark, scratch_path(spark, "late"))
     wh.ensure_raw()

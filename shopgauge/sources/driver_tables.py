@@ -69,16 +69,19 @@ def _as_source(rows: DataFrame, **columns: str) -> DataFrame:
     )
 
 
-def web_shards(spark: SparkSession, sf_dir: str, event_name: str | None = None) -> DataFrame:
+def web_shards(spark: SparkSession, sf_dir: str, event_name: str | None = None, spread: int | None = None) -> DataFrame:
     """``events`` as visits and purchases of a web shop.
 
     Naming one event here lets the filter reach the files, which a filter on
     the derived name cannot. The events named are about to be filtered by what
     ``props`` holds, so it is parsed behind a generator of one row: a filter
     does not move below a generator, where it would parse ``props`` again for
-    every mention of ``k``.
+    every mention of ``k``. ``spread`` deals the flat events over so many tasks
+    before they are widened, as in ``order_shards``.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if spread:
+        events = events.repartition(spread)
     named = "event_type"
     for old, new in EVENT_NAMES.items():
         named = f"IF(event_type = '{old}', '{new}', {named})"

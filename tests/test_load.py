@@ -12,6 +12,7 @@ from shopgauge.operators import discovery, incremental, quality, raw, staging
 from shopgauge.plans import job
 from shopgauge.schemas import PIPELINE_RUNS, RAW_EVENTS
 from shopgauge.sources import tables
+from shopgauge.sources.driver_tables import web_shards
 from shopgauge.sources.shards import read_shards, shard_row_counts
 
 ITEMS = [{"item_id": "i", "item_name": "n", "quantity": 2, "item_revenue_in_usd": 3.0}]
@@ -315,3 +316,12 @@ def test_days_to_stage(spark):
     ]
     runs = spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in PIPELINE_RUNS.items()))
     assert discovery.day_list(discovery.days_to_stage(runs)) == ["20240102", "20240103"]
+
+
+def test_events_of_one_row_group_are_dealt_over_tasks(spark, tmp_path):
+    rows = [(k, k % 7, "purchase" if k % 2 else "view", 1.5, '{"k": 3}', datetime(2024, 1, 1 + k % 3)) for k in range(60)]
+    flat = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, props string, ts timestamp_ntz")
+    flat.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    whole, dealt = web_shards(spark, str(tmp_path)), web_shards(spark, str(tmp_path), spread=4)
+    assert dealt.select(F.spark_partition_id().alias("p")).distinct().count() == 4
+    assert dealt.exceptAll(whole).isEmpty() and dealt.count() == whole.count() == 60
