@@ -172,6 +172,8 @@ def spanning(may: np.ndarray) -> tuple[list[tuple[int, int]], int]:
 
 
 PAIR, LIVE, HUB = 0, 1, 2
+#: The piece of nodes that are compared whole.
+WHOLE = -1
 FOUND = "kind int, path long, piece int, a long, b long, n long, tokens array<short>"
 
 
@@ -180,7 +182,7 @@ def compare(groups: DataFrame, every: bool) -> DataFrame:
 
     With ``every``, all pairs of different components are given that pass and whose
     parities (``bits``) don't rule them out. Else
-    only as many as join the same members (``PAIR``, ``a`` and ``b``), the members of groups
+    only as many as join the same members (``PAIR``, ``a`` and ``b``), the members of ``WHOLE`` nodes
     in which more pairs pass (``LIVE``), and of each piece the member with
     most partners (``HUB``, ``b`` their share in millionths), so what is given grows with the members.
     """
@@ -226,7 +228,7 @@ def compare(groups: DataFrame, every: bool) -> DataFrame:
             pairs, hub = spanning(may)
             out.extend((PAIR, *here, int(node[low + v]), int(node[low + w]), None, None) for v, w in pairs)
             out.append((HUB, *here, int(node[low + hub]), int(may[hub].sum()) * 1_000_000 // (high - low), None, None))
-            if total > len(pairs):
+            if here[1] == WHOLE and total > len(pairs):
                 live = np.flatnonzero(may.any(axis=1)).tolist()
                 out.extend((LIVE, *here, int(node[low + v]), None, int(n[low + v]), own[low + v]) for v in live)
         if out:
@@ -313,7 +315,7 @@ def links_of(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
         small, dense = grow(labelled(members(trees), found))
         groups = []
         if small is not None:
-            groups.append(small.withColumn("piece", F.lit(0)))
+            groups.append(small.withColumn("piece", F.lit(WHOLE)))
         if dense is not None:
             pieces = F.ceil(F.col("size") / SMALL)
             groups.append(dense.withColumn("piece", F.pmod(F.xxhash64("node", "path"), pieces).cast("int")))
@@ -329,7 +331,7 @@ def links_of(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
             denses.append(dense.drop("component"))
         if add(pairs):
             found = known()
-    # what is left: pairs that pass, of members whom the links so far haven't joined
+    # what is left: pairs that pass, of members whom the links so far haven't joined; those of dense nodes are compared once, with all of the node
     left = []
     bits = classes.select("node", "bits")
     if lives:

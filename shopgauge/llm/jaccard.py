@@ -30,7 +30,7 @@ GROWTH = 1.35
 PARTS = 3
 #: Times the number of shuffle partitions into which signatures are dealt.
 DEALT = 2
-#: Sets in a piece when what is left is compared.
+#: Sets up to which what is left is compared in one piece; pieces of larger groups grow with the root of their size.
 TILE = 1024
 #: Buckets of a member that are known where it is compared, so that a pair isn't given in each.
 FIRST = 32
@@ -406,27 +406,34 @@ def across(open_: DataFrame, narrow: DataFrame) -> DataFrame:
 
     ``open_``: ``bucket, node, component``. The members outside a bucket's
     largest component are compared with all of it, piece by piece where it is
-    large. Members that meet in several buckets are compared in each, but given
+    large, see ``dealt``. Members that meet in several buckets are compared in each, but given
     in the first: rows carry the ``FIRST`` least of their member's buckets.
     """
+    firsts = open_.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("bucket")), 1, FIRST).alias("firsts"))
+    keys = ["bucket", "i", "j"]
+    rows = dealt(open_).join(narrow.join(firsts, "node"), "node").select(*keys, "left", "right", "node", "component", "outside", "n", "bits", "firsts")
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tiles_met, "a long, b long").distinct()
+
+
+def dealt(open_: DataFrame) -> DataFrame:
+    """``bucket, node, component, outside, i, j, left, right``: each member of the open buckets once for every tile ``i, j`` that it goes to.
+
+    A bucket has as many pieces as the root of its size in ``TILE``, so a member
+    goes to fewer tiles than that twice over, and a tile holds some ``TILE`` times that root.
+    """
     sizes = open_.groupBy("bucket", "component").count().groupBy("bucket").agg(
         F.max_by("component", F.struct("count", "component")).alias("largest"), F.sum("count").alias("size"), (F.sum("count") - F.max("count")).alias("rest")
     )
     rows = open_.join(sizes.where("rest > 0"), "bucket").withColumn("outside", F.col("component") != F.col("largest"))
-    # pieces of those outside meet pieces of all; a piece holds about TILE
-    last = lambda column: (F.ceil(F.col(column) / TILE) - 1).cast("int")
+    # pieces of those outside meet pieces of all
+    last = lambda column: (F.ceil(F.sqrt(F.col(column) / TILE)) - 1).cast("int")
     place = lambda column: F.pmod(F.xxhash64("node"), last(column) + 1).cast("int")
     tile = lambda i, j, left, right: F.struct(i.alias("i"), j.alias("j"), left.alias("left"), right.alias("right"))
-    yes, no = F.lit(True), F.lit(False)
-    lefts = F.transform(F.sequence(F.lit(0), F.when(F.col("outside"), last("size")).otherwise(0)), lambda j: tile(place("rest"), j, F.col("outside"), no))
-    rights = F.transform(F.sequence(F.lit(0), last("rest")), lambda i: tile(i, place("size"), no, yes))
-    whole = F.array(tile(F.lit(0), F.lit(0), F.col("outside"), yes))
-    tiles = F.when(F.col("size") <= TILE, whole).otherwise(F.filter(F.concat(lefts, rights), lambda t: t["left"] | t["right"]))
-    firsts = open_.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("bucket")), 1, FIRST).alias("firsts"))
-    dealt = rows.select("bucket", "node", "component", "outside", F.explode(tiles).alias("t")).join(narrow.join(firsts, "node"), "node")
-    keys = ["bucket", "i", "j"]
-    dealt = dealt.select("bucket", "t.i", "t.j", "t.left", "t.right", "node", "component", "outside", "n", "bits", "firsts")
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tiles_met, "a long, b long").distinct()
+    outside = F.col("outside")
+    lefts = F.transform(F.sequence(F.lit(0), last("size")), lambda j: tile(place("rest"), j, F.lit(True), j == place("size")))
+    rights = F.transform(F.sequence(F.lit(0), last("rest")), lambda i: tile(i, place("size"), F.lit(False), F.lit(True)))
+    tiles = F.concat(F.filter(lefts, lambda t: outside), F.filter(rights, lambda t: ~outside | (t["i"] != place("rest"))))
+    return rows.select("bucket", "node", "component", "outside", F.explode(tiles).alias("t")).select("bucket", "node", "component", "outside", "t.*")
 
 
 def tiles_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

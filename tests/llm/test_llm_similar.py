@@ -295,3 +295,46 @@ def test_a_pair_is_given_in_the_first_bucket_it_shares():
     at = lambda b: jaccard.met_before(pairs, np.full(4, b), firsts).tolist()
     assert at(9) == [True, False, False, True] and at(5) == [False] * 4
     assert not len(jaccard.met_before(np.zeros((0, 2), np.int64), np.zeros(4, np.int64), firsts))
+
+
+def test_rows_dealt_of_a_bucket_grow_slower_than_its_square(spark, monkeypatch):
+    """Every pair that counts meets in one tile, though a bucket four times as large has eight to nine times the rows."""
+    monkeypatch.setattr(jaccard, "TILE", 4)
+    rows = {}
+    for size in (64, 256):
+        component = {v: 1000 for v in range(size // 2, size)} if size == 64 else {}
+        open_, _ = open_buckets(spark, {1: set(range(size))}, component)
+        tiles = {}
+        dealt = jaccard.dealt(open_).collect()
+        for r in dealt:
+            tiles.setdefault((r.i, r.j), []).append(r)
+        met = Counter(frozenset((x.node, y.node)) for t in tiles.values() for x in t if x.left for y in t if y.right and x.component != y.component)
+        label = lambda v: component.get(v, v)  # noqa: B023, E731
+        assert set(met) == {frozenset((v, w)) for v in range(size) for w in range(v) if label(v) != label(w)}
+        assert len(dealt) == len({(r.i, r.j, r.node) for r in dealt})
+        rows[size] = len(dealt)
+    open_, _ = open_buckets(spark, {1: set(range(64))})
+    assert rows[256] < 9 * jaccard.dealt(open_).count()
+
+
+def test_members_of_dense_nodes_are_compared_in_one_place(spark, monkeypatch):
+    """Those that are left go to the comparison of whole dense nodes, not also to that of pieces."""
+    monkeypatch.setattr(chosen_path, "SMALL", 8)
+    seen = {"pieces": 0, "dense": 0}
+    compare, across = chosen_path.compare, chosen_path.across
+
+    def compare_(groups, every):
+        if every:
+            seen["pieces"] += groups.where("piece >= 0").count()
+        return compare(groups, every)
+
+    def across_(open_, narrow):
+        seen["dense"] += open_.count()
+        return across(open_, narrow)
+
+    monkeypatch.setattr(chosen_path, "compare", compare_)
+    monkeypatch.setattr(chosen_path, "across", across_)
+    rng = random.Random(11)
+    docs = list(enumerate(variants(rng, 60, 16)))
+    assert rows_of(chosen_path.near_duplicates(spark.createDataFrame(docs, DOCS))) == brute_links(docs)
+    assert seen["dense"] and not seen["pieces"]
