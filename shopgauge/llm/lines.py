@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgauge.llm.common import WORD, store
+from shopgauge.llm.common import store
 
 #: A line of so many words is a passage, and counts by itself.
 PASSAGE = 50
@@ -45,16 +45,29 @@ def chunk_text(lines: Column, chunk: Column) -> Column:
     return F.array_join(F.slice(lines, chunk["first"] + 1, chunk["last"] - chunk["first"] + 1), "\n")
 
 
+def span_texts(joined: DataFrame) -> DataFrame:
+    """``doc_id, _own, span, bytes``: each of ``_spans`` with its text.
+
+    A document's spans get their texts before they become rows. Done in each row,
+    the whole text would go into it and be split again, as often as there are spans.
+    """
+    lines = joined.where("_spans is not null").select("doc_id", "_own", "_spans", F.split("text", "\n").alias("lines"))
+    with_bytes = F.transform("_spans", lambda s: F.struct(s.alias("span"), chunk_text(F.col("lines"), s).alias("bytes")))
+    return lines.select("doc_id", "_own", F.inline(with_bytes))
+
+
 def cut(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     """``_id, _row, first, last, hash`` of all that may go: pairs of neighbouring lines with words, passages, and chunks with blank lines together.
 
     ``_row`` is the hash of the text. What has less than two lines with words is left out, but for passages.
     """
     blank = r"^[\x20\x09-\x0D]*$"
-    lines = docs.select(
+    lines = docs.where("text is not null").select(
         F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_row"), F.split("text", "\n").alias("lines")
-    ).where("lines is not null")
-    long = lambda x: F.when(F.length(x) >= 2 * passage - 1, F.regexp_count(x, F.lit(WORD)) >= passage).otherwise(F.lit(False))
+    )
+    # as many words and more, without a list of them
+    many = rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{{passage - 1}}}[^\x20\x09-\x0D]" if passage > 0 else ""
+    long = lambda x: F.when(F.length(x) >= 2 * passage - 1, x.rlike(many)).otherwise(F.lit(False))
     marked = lines.select(
         "_id",
         "_row",
@@ -68,7 +81,9 @@ def cut(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     n = F.size("hashes")
     starts = F.sequence(F.lit(0), n - 2)
     together = lambda i: at("blank", i) & at("blank", i + 1)
-    spoken = F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~at("blank", i))
+    # a column of its own, since it stands in several places below
+    marked = marked.withColumn("spoken", F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~at("blank", i)))
+    spoken = F.col("spoken")
     between = lambda i, j: F.when(j == i + 1, F.xxhash64(at("hashes", i), at("hashes", j))).otherwise(F.xxhash64(F.slice("hashes", i + 1, j - i + 1)))
     but_one = F.greatest(F.size(spoken) - 1, F.lit(0))
     pairs = F.zip_with(F.slice(spoken, 1, but_one), F.slice(spoken, 2, but_one), lambda i, j: unit(i, j, between(i, j)))
@@ -114,8 +129,7 @@ def dedup(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_row"))
     joined = store(keyed.join(spans, same, "left").select(*docs.columns, "_own", "_spans"), "line-spans")
 
-    texts = joined.where("_spans is not null").select("doc_id", "_own", F.split("text", "\n").alias("lines"), F.explode("_spans").alias("span"))
-    texts = texts.select("doc_id", "_own", "span", chunk_text(F.col("lines"), F.col("span")).alias("bytes"))
+    texts = span_texts(joined)
     mixed = texts.groupBy("span.hash").agg((F.min("bytes") != F.max("bytes")).alias("mixed")).where("mixed").select("hash")
     mixed = store(mixed, "line-mixed")
     ready = joined.withColumn("_go", F.filter("_spans", lambda s: ~s["stays"]))

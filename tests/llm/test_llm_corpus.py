@@ -113,6 +113,30 @@ def test_line_dedup_equals_brute_force(spark):
     assert {k: [x for x in t.split("\n") if x.strip()] for k, t in expected.items()} == {r.doc_id: [x for x in r.text.split("\n") if x.strip()] for r in out}
 
 
+def test_line_dedup_copies_no_lines_into_spans(spark, monkeypatch):
+    # a document of many spans: none of their rows may hold its text or all of its lines
+    plans, real = {}, lines.store
+
+    def stored(df, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(lines, "store", stored)
+    long = "\n".join(f"line {k}" for k in range(2000))
+    out = {r.doc_id: r for r in lines.dedup(spark.createDataFrame([(1, long), (2, f"own\n{long}\nother")], SCHEMA)).collect()}
+    assert out[1].text == long and out[2].text == "own\nother" and out[2].n_removed == 2000
+    assert "Generate" in plans["line-mixed"]
+    assert not re.search(r"Generate .*, \[[^\[\]]*(text|lines)#[^\[\]]*\], (false|true)", plans["line-mixed"])
+
+
+@pytest.mark.parametrize("least", [0, 1, 2, 5])
+def test_line_dedup_counts_words_of_passages(spark, least):
+    rng = random.Random(least)
+    made = ["".join(rng.choice([" ", "  ", "\t", "\r", "\x0b\x0c", "\x85", "\u2028", "\xa0", "a", "bc", "\U0001f600"]) for _ in range(rng.randint(0, 14))) for _ in range(600)]
+    found = lines.cut(spark.createDataFrame(list(enumerate(made)), SCHEMA), least).where("first = last").collect()
+    assert {r._id for r in found} == {k for k, x in enumerate(made) if len(re.findall(r"[^\x20\x09-\x0D]+", x)) >= least and len(x) >= 2 * least - 1}
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 5])
 def test_line_dedup_removes_short_stretches(spark, n):
     # a passage of 60 words wrapped over n lines, none of them a passage, with other neighbours each time
