@@ -6,11 +6,13 @@ import gc
 import os
 import shutil
 import tempfile
+import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import wraps
 from math import ceil
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,6 +88,37 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Spark's setting that deletes the shuffle files of an execution at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Sessions in which it is on for now: for how many callers, and what it was before.
+FREEING: WeakKeyDictionary[SparkSession, tuple[int, str | None]] = WeakKeyDictionary()
+FREEING_LOCK = threading.Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of each table stored inside go when it is written, not with some later garbage collection.
+
+    The setting is the session's. What else is executed in it meanwhile loses its
+    shuffle files too; Spark makes them again if the same plan is executed once more.
+    """
+    with FREEING_LOCK:
+        callers, before = FREEING.get(spark) or (0, spark.conf.get(CLEANUP, None))
+        FREEING[spark] = callers + 1, before
+        spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with FREEING_LOCK:
+            callers, before = FREEING.pop(spark)
+            if callers > 1:
+                FREEING[spark] = callers - 1, before
+            elif before is None:
+                spark.conf.unset(CLEANUP)
+            else:
+                spark.conf.set(CLEANUP, before)
+
+
 def collect_garbage(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to, between rounds of a long operator."""
     gc.collect()

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgauge.llm.common import store
+from shopgauge.llm.common import Stored, owned, shuffles_freed, store
 
 #: A line of so many words is a passage, and counts by itself.
 PASSAGE = 50
@@ -121,17 +121,29 @@ def dedup(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     and come out alike. Chunks of different bytes under one hash are compared
     by their texts instead, so only equal bytes are ever removed. Other columns
     stay as they are; columns named ``n_lines`` or ``n_removed`` are replaced.
+
+    The texts are shuffled once, to their spans, and stored. What other steps shuffle
+    goes when they are done, and so do the chunks, so they don't lie on the disk together.
     """
     docs = docs.drop("n_lines", "n_removed")
-    found = repeated(store(cut(docs, passage), "line-chunks"))
+    spark = docs.sparkSession
+    with shuffles_freed(spark), owned(Stored()) as passing:
+        found = repeated(store(cut(docs, passage), "line-chunks"))
     spans = found.groupBy("_id", "_row").agg(F.collect_set(F.struct("first", "last", "hash", "stays")).alias("_spans"))
+    with shuffles_freed(spark):
+        spans = store(spans, "line-places")
+    passing.release(spark)
     keyed = docs.withColumn("_own", F.xxhash64("text"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_row"))
-    joined = store(keyed.join(spans, same, "left").select(*docs.columns, "_own", "_spans"), "line-spans")
+    # the spans grow with the corpus: as a small file they are no reason to broadcast them
+    joined = keyed.join(spans.hint("merge"), same, "left").select(*docs.columns, "_own", "_spans")
+    with shuffles_freed(spark):
+        joined = store(joined, "line-spans")
 
     texts = span_texts(joined)
     mixed = texts.groupBy("span.hash").agg((F.min("bytes") != F.max("bytes")).alias("mixed")).where("mixed").select("hash")
-    mixed = store(mixed, "line-mixed")
+    with shuffles_freed(spark):
+        mixed = store(mixed, "line-mixed")
     ready = joined.withColumn("_go", F.filter("_spans", lambda s: ~s["stays"]))
     if not mixed.isEmpty():
         # the hash alone doesn't tell these apart: decide again by hash and bytes

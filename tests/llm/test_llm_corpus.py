@@ -7,13 +7,14 @@ import random
 import re
 import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shopgauge.llm import components, jaccard, lines, pii, queries, shards, warc
-from shopgauge.session import scratch_path
+from shopgauge.llm import common, components, jaccard, lines, pii, queries, shards, warc
+from shopgauge.session import scratch_folder, scratch_path
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string"
@@ -129,6 +130,50 @@ def test_line_dedup_copies_no_lines_into_spans(spark, monkeypatch):
     assert not re.search(r"Generate .*, \[[^\[\]]*(text|lines)#[^\[\]]*\], (false|true)", plans["line-mixed"])
 
 
+def test_line_dedup_frees_the_disk_between_steps(spark, monkeypatch):
+    # what a step has shuffled may not lie there beside the texts of the next one, nor may the chunks
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffled = lambda: {f.name for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+    tables = lambda: {f.name for f in Path(scratch_folder(spark)).glob("line-*")}
+    files, before, left, chunks, real = shuffled(), tables(), {}, {}, lines.store
+
+    def watched(df, name):
+        chunks[name] = any(x.startswith("line-chunks") for x in tables() - before)
+        written = real(df, name)
+        until = time.time() + 5  # files may go in the background
+        while shuffled() - files and time.time() < until:
+            time.sleep(0.1)
+        left[name] = shuffled() - files
+        return written
+
+    monkeypatch.setattr(lines, "store", watched)
+    rows = [(k, "\n".join([f"own {k}", *stretch("shared"), f"end {k}"])) for k in range(200)]
+    out = lines.dedup(spark.createDataFrame(rows, SCHEMA))
+    assert not any(left.values()) and chunks["line-places"] and not chunks["line-spans"]
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {k: 30 * (k > 0) for k in range(200)}
+    # other queries of the session keep theirs
+    other = spark.range(100).repartition(3)
+    assert other.count() == 100 and shuffled() - files
+
+
+def test_shuffles_freed_restores_the_setting(spark):
+    now = lambda: spark.conf.get(common.CLEANUP, None)
+    before = now()
+    first, second = common.shuffles_freed(spark), common.shuffles_freed(spark)
+    first.__enter__(), second.__enter__()
+    first.__exit__(None, None, None)
+    assert now() == "true"
+    second.__exit__(None, None, None)
+    assert now() == before
+    spark.conf.set(common.CLEANUP, "false")
+    try:
+        with pytest.raises(ValueError), common.shuffles_freed(spark):
+            raise ValueError
+        assert now() == "false"
+    finally:
+        spark.conf.unset(common.CLEANUP)
+
+
 @pytest.mark.parametrize("least", [0, 1, 2, 5])
 def test_line_dedup_counts_words_of_passages(spark, least):
     rng = random.Random(least)
